@@ -5,8 +5,13 @@ one task numbers every row. Instead the rows are range-partitioned on the
 order (sampled bounds, so buckets are balanced and ordered), sorted inside
 each bucket, and numbered as ``offset(bucket) + position``. The offsets are
 the running sum of the per-bucket counts: one row per bucket, so the
-broadcast is bounded by the bucket count, not by the data. The range
-exchange is shared by both branches (exchange reuse).
+broadcast is bounded by the bucket count, not by the data.
+
+The bucketed rows are needed twice (counts, then numbering) and must be the
+*same* buckets both times: two evaluations would sample range bounds
+independently. So they are materialised once with a reliable
+``checkpoint()`` into the session's checkpoint folder (shared storage on a
+cluster); that also cuts the lineage, so a lost executor never renumbers.
 
 The result equals a global ``row_number`` over a total order.
 """
@@ -15,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +38,12 @@ def with_dense_ids(df: DataFrame, order: Sequence[str], id_col: str = "id",
                 .sortWithinPartitions(*order)
                 .withColumn("_bucket", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()
-                            - F.shiftleft(F.col("_bucket").cast("long"), 33)))
+                            - F.shiftleft(F.col("_bucket").cast("long"), 33))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    # persist first: an eager checkpoint of an uncached plan computes it twice
+    cut = ranged.checkpoint(eager=True)
+    ranged.unpersist()
+    ranged = cut
     sizes = ranged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0))

@@ -23,6 +23,7 @@ _LOCAL_DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -35,23 +36,29 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
     builder = builder.config("spark.driver.memory", os.environ.get("DIMLOOM_DRIVER_MEMORY", "16g"))
+    if checkpoint_dir:  # static setting: only takes effect on a new session
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if checkpoint_dir:
-        spark.sparkContext.setCheckpointDir(checkpoint_dir)
-        spark.conf.set("spark.checkpoint.dir", checkpoint_dir)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+_FALLBACK: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a local one only if unset."""
-    cur = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Read from the session; only when the session names none (local runs) a
+    folder is chosen here. ``checkpoint()`` is pointed at the same place.
+    """
+    sc = spark.sparkContext
+    cur = sc.getConf().get("spark.checkpoint.dir", None) or _FALLBACK.get("dir")
     if not cur:
-        cur = "/tmp/dimloom-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", cur)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(cur)
+        cur = _FALLBACK.setdefault("dir", "/tmp/dimloom-checkpoints")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(cur)
     return cur.rstrip("/")
 
 
