@@ -9,9 +9,9 @@ broadcast is bounded by the bucket count, not by the data.
 
 The bucketed rows are needed twice (counts, then numbering) and must be the
 *same* buckets both times: two evaluations would sample range bounds
-independently. So they are materialised once with a reliable
-``checkpoint()`` into the session's checkpoint folder (shared storage on a
-cluster); that also cuts the lineage, so a lost executor never renumbers.
+independently. So they are written once as a Parquet table in the
+session's checkpoint folder (shared storage on a cluster) and read back;
+that also cuts the lineage, so a lost executor never renumbers.
 
 The result equals a global ``row_number`` over a total order.
 """
@@ -24,26 +24,41 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimloom.session import scratch_dir
+
 
 def _bucket_count(df: DataFrame) -> int:
     conf = df.sparkSession.conf
     return max(1, int(conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def materialize(df: DataFrame, label: str = "mat") -> DataFrame:
+    """Compute ``df`` once as a Parquet table in the shared checkpoint folder.
+
+    Reading it back cuts the lineage (a lost executor re-reads files, it
+    never recomputes — or renumbers — upstream). Parquet rather than an RDD
+    checkpoint: columnar and compressed instead of serialised rows.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def with_dense_ids(df: DataFrame, order: Sequence[str], id_col: str = "id",
                    base: Column | int = 0, buckets: int | None = None) -> DataFrame:
     """Add ``id_col`` = base + 1..n in ``order`` (which must be total)."""
     n = buckets or _bucket_count(df)
-    ranged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_bucket", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id()
-                            - F.shiftleft(F.col("_bucket").cast("long"), 33))
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    # persist first: an eager checkpoint of an uncached plan computes it twice
-    cut = ranged.checkpoint(eager=True)
-    ranged.unpersist()
-    ranged = cut
+    # cached input: the range-bound sampling pass and the numbering pass share it
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranged = materialize(
+            src.repartitionByRange(n, *order)
+               .sortWithinPartitions(*order)
+               .withColumn("_bucket", F.spark_partition_id())
+               .withColumn("_pos", F.monotonically_increasing_id()
+                           - F.shiftleft(F.col("_bucket").cast("long"), 33)), "ids")
+    finally:
+        src.unpersist()
     sizes = ranged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.operators.ids import with_dense_ids
+from dimloom.operators.ids import materialize, with_dense_ids
 
 
 def _base_id(target: DataFrame, id_col: str):
@@ -61,6 +61,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     keys = list(keys)
     update_cols = list(update_cols)
     cols = [c for c in target.columns if c != id_col]
+    source = materialize(source)  # read twice below; compute the delta once
     s = source.select(*keys, *update_cols).withColumn("_hit", F.lit(True))
     s = s.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in update_cols], "_hit")
     merged = target.join(s, keys, "left")
