@@ -64,6 +64,17 @@ def prior_value(wm: DataFrame) -> Column:
     return prior(wm).scalar()
 
 
+def prior_literal(wm: DataFrame) -> Column:
+    """The prior mark read once (a one-cell job) and inlined as a typed literal.
+
+    Use when the mark feeds several jobs: a literal is a static pushed filter
+    (row-group pruning) and is not re-evaluated per job, as a subquery is.
+    """
+    dtype = wm.schema[COL].dataType
+    value = prior(wm).first()[0]
+    return F.lit(value).cast(dtype) if value is not None else F.lit(None).cast(dtype)
+
+
 def fresh(df: DataFrame, prior_mark: Column, col: str = "dfrom") -> DataFrame:
     """Rows inside the freshness window. A NULL prior keeps nothing."""
     return df.filter(F.col(col) >= prior_mark)

@@ -76,7 +76,7 @@ def run_cycle(store: StateStore, feeds: Mapping[str, DataFrame], batch_id: int |
     # 3. watermarks
     for t in STG_SCHEMAS:
         store.write(f"wm_{t}", wmk.added_mark(store.read(f"wm_{t}", prev), stg[t]), cyc)
-    priors = {t: wmk.prior_value(store.read(f"wm_{t}", cyc)) for t in STG_SCHEMAS}
+    priors = {t: wmk.prior_literal(store.read(f"wm_{t}", cyc)) for t in STG_SCHEMAS}
 
     # 4. dimensions (insert-only)
     for name, (src, cols) in DIMENSIONS.items():

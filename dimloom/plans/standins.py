@@ -124,9 +124,33 @@ class Standins:
     def prior(self, table: str) -> Column:
         return wmk.prior_value(self.wm(table))
 
-    def priors(self) -> tuple[Column, Column, Column]:
-        """(short, okved, address) prior marks as scalar subqueries."""
-        return self.prior("short"), self.prior("okved"), self.prior("address")
+    def priors(self, literal: bool = True) -> tuple[Column, Column, Column]:
+        """(short, okved, address) prior marks: read once as literals, or as
+        scalar subqueries (``literal=False``).
+
+        The literal form derives all three watermark tables in one job: one
+        scan per table grouped by month, then per source the second-largest
+        mark (three rows reach the driver).
+        """
+        names = ("short", "okved", "address")
+        if not literal:
+            return tuple(self.prior(t) for t in names)
+        types = {t: self.stg(t).schema["dfrom"].dataType for t in names}
+        marks = None
+        for t in names:
+            part = (self.stg(t).groupBy(F.trunc("dfrom", "month").alias("_m"))
+                        .agg(F.max("dfrom").cast("timestamp_ntz").alias(wmk.COL))
+                        .select(F.lit(t).alias("src"), wmk.COL)
+                        .unionByName(self.spark.range(1).select(
+                            F.lit(t).alias("src"),
+                            F.lit(WATERMARK_SEED).cast("timestamp_ntz").alias(wmk.COL))))
+            marks = part if marks is None else marks.unionByName(part)
+        # one row per month and source: the watermark table itself, bounded by
+        # the number of cycles, not by the data volume
+        second = F.element_at(F.sort_array(F.collect_set(wmk.COL), asc=False), 2)
+        got = {r["src"]: r["prior"]
+               for r in marks.groupBy("src").agg(second.alias("prior")).collect()}
+        return tuple(F.lit(got.get(t)).cast("timestamp_ntz").cast(types[t]) for t in names)
 
     def seeds(self) -> tuple[Column, Column, Column]:
         return self.seed_mark("short"), self.seed_mark("okved"), self.seed_mark("address")
