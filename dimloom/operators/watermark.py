@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimloom.constants import WATERMARK_SEED
 from dimloom.schemas import WATERMARK_SCHEMA
@@ -71,8 +72,20 @@ def prior_literal(wm: DataFrame) -> Column:
     (row-group pruning) and is not re-evaluated per job, as a subquery is.
     """
     dtype = wm.schema[COL].dataType
-    value = prior(wm).first()[0]
-    return F.lit(value).cast(dtype) if value is not None else F.lit(None).cast(dtype)
+    return typed_literal(prior(wm).first()[0], dtype)
+
+
+def typed_literal(value, dtype) -> Column:
+    """A collected timestamp back as a literal of ``dtype``.
+
+    Zone-less values go through ISO text (no Python-side zone conversion);
+    instants round-trip through the same local zone PySpark collected them in.
+    """
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)
 
 
 def fresh(df: DataFrame, prior_mark: Column, col: str = "dfrom") -> DataFrame:

@@ -150,7 +150,8 @@ class Standins:
         second = F.element_at(F.sort_array(F.collect_set(wmk.COL), asc=False), 2)
         got = {r["src"]: r["prior"]
                for r in marks.groupBy("src").agg(second.alias("prior")).collect()}
-        return tuple(F.lit(got.get(t)).cast("timestamp_ntz").cast(types[t]) for t in names)
+        return tuple(wmk.typed_literal(got.get(t), T.TimestampNTZType()).cast(types[t])
+                     for t in names)
 
     def seeds(self) -> tuple[Column, Column, Column]:
         return self.seed_mark("short"), self.seed_mark("okved"), self.seed_mark("address")
