@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimloom.session import scratch_dir
 
@@ -51,6 +52,9 @@ def with_dense_ids(df: DataFrame, order: Sequence[str], id_col: str = "id",
     # cached input: the range-bound sampling pass and the numbering pass share it
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if src.isEmpty():  # common in a cycle: no new members, skip sampling and writes
+            schema = T.StructType(df.schema.fields + [T.StructField(id_col, T.LongType(), False)])
+            return df.sparkSession.createDataFrame([], schema)
         ranged = materialize(
             src.repartitionByRange(n, *order)
                .sortWithinPartitions(*order)
