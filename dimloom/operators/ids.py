@@ -28,11 +28,6 @@ from pyspark.sql import types as T
 from dimloom.session import scratch_dir
 
 
-def _bucket_count(df: DataFrame) -> int:
-    conf = df.sparkSession.conf
-    return max(1, int(conf.get("spark.sql.shuffle.partitions", "200")))
-
-
 def materialize(df: DataFrame, label: str = "mat") -> DataFrame:
     """Compute ``df`` once as a Parquet table in the shared checkpoint folder.
 
@@ -45,16 +40,26 @@ def materialize(df: DataFrame, label: str = "mat") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+ROWS_PER_BUCKET = 1_000_000
+
+
 def with_dense_ids(df: DataFrame, order: Sequence[str], id_col: str = "id",
-                   base: Column | int = 0, buckets: int | None = None) -> DataFrame:
-    """Add ``id_col`` = base + 1..n in ``order`` (which must be total)."""
-    n = buckets or _bucket_count(df)
-    # cached input: the range-bound sampling pass and the numbering pass share it
+                   base: Column | int = 0, buckets: int | None = None,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add ``id_col`` = base + 1..n in ``order`` (which must be total).
+
+    The bucket count follows the row count (at most ``rows_per_bucket`` rows
+    per numbering task), unless ``buckets`` is given.
+    """
+    # cached input: the count, the range-bound sampling pass and the
+    # numbering pass share it
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if src.isEmpty():  # common in a cycle: no new members, skip sampling and writes
+        rows = src.count()
+        if rows == 0:  # common in a cycle: no new members, skip sampling and writes
             schema = T.StructType(df.schema.fields + [T.StructField(id_col, T.LongType(), False)])
             return df.sparkSession.createDataFrame([], schema)
+        n = buckets or max(1, -(-rows // rows_per_bucket))
         ranged = materialize(
             src.repartitionByRange(n, *order)
                .sortWithinPartitions(*order)
