@@ -9,6 +9,7 @@ cluster); a default is set only when the session has none.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,18 +51,29 @@ _FALLBACK: dict[str, str] = {}
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when the session names none (local runs) a
-    folder is chosen here. ``checkpoint()`` is pointed at the same place.
+    Read from the session. Only a local session that names none gets a folder
+    here; on a cluster every executor would write its own machine's folder,
+    so a missing setting is an error there. ``checkpoint()`` is pointed at the
+    same place.
     """
     sc = spark.sparkContext
     cur = sc.getConf().get("spark.checkpoint.dir", None) or _FALLBACK.get("dir")
     if not cur:
-        cur = _FALLBACK.setdefault("dir", "/tmp/dimloom-checkpoints")
+        check_shared(sc.master, cur)
+        cur = _FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="dimloom-checkpoints-"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(cur)
     return cur.rstrip("/")
 
 
+def check_shared(master: str, folder: str | None) -> None:
+    """Raise when a non-local master has no shared checkpoint folder."""
+    if not folder and not (master or "").startswith("local["):
+        raise RuntimeError(
+            f"spark.checkpoint.dir is not set and the master is {master!r}: intermediate tables "
+            "need a folder that the driver and all executors share")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/dimloom/{label}-{uuid.uuid4().hex[:12]}"
