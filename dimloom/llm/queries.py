@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimloom.llm import jaccard, lines, mixing, quality
+from dimloom.llm import jaccard, lines, mixing, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, model).drop("text")
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """The place of a public tokenizer's file, on every machine the same."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_sequences(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -34,6 +45,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_mix_sources": op4_mix_sources,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
