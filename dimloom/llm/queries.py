@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimloom.llm import jaccard, lines, mixing, near_vectors, packing, quality, repeats
+from dimloom.llm import jaccard, lines, mixing, near_vectors, packing, quality, repeats, surrogates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,12 +35,17 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, key="op5")  # a user's key is a secret of theirs
+
+
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90).drop("print")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_mix_sources": op4_mix_sources,
+    "op5_pii_surrogates": op5_pii_surrogates,
     "op7_near_vectors": op7_near_vectors,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
