@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimloom.llm import jaccard, lines, mixing, near_vectors, packing, quality, repeats, surrogates
+from dimloom.llm import jaccard, licenses, lines, mixing, near_vectors, packing, quality, repeats, surrogates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,11 @@ def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_entities(docs, key="op5")  # a user's key is a secret of theirs
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.license_scan(docs, licenses.train(spark, docs))
+
+
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_mix_sources": op4_mix_sources,
     "op5_pii_surrogates": op5_pii_surrogates,
+    "op6_license_scan": op6_license_scan,
     "op7_near_vectors": op7_near_vectors,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
