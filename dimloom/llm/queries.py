@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimloom.llm import jaccard, licenses, lines, mixing, near_vectors, packing, quality, repeats, surrogates
+from dimloom.llm import chat, jaccard, licenses, lines, mixing, near_vectors, packing, quality, repeats, surrogates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chat(*chat.from_turns(table(spark, sf_dir, "conversations")), chat.ASK)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -64,6 +68,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_mix_sources": op4_mix_sources,
     "op5_pii_surrogates": op5_pii_surrogates,
     "op6_license_scan": op6_license_scan,
@@ -74,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_chat_formatting": chat.ORACLE,
     "op9_line_dedup": lines.ORACLE,
 }
