@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimloom.llm.own import Own
 from dimloom.operators.ids import materialize
 
 EVERY = 4
@@ -31,10 +32,9 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
-def chunked(docs: DataFrame, doc_id: str, text: str, every: int) -> DataFrame:
-    """(row, id, print, lines, chunks) with chunks an array of (k, first, size, n_full)."""
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{doc_id}`").alias("id"),
-                    F.xxhash64(f"`{text}`").alias("print"), F.split(f"`{text}`", "\n", -1).alias("lines"))
+def chunked(df: DataFrame, every: int) -> DataFrame:
+    """``df`` (with ``body``) with ``lines`` and ``chunks``, an array of (k, first, size)."""
+    d = df.withColumn("lines", F.split("body", "\n", -1))
     d = computed(d, "lines", F.col("lines"))
     d = computed(d, "hashes", F.transform("lines", line_hash))
     size, before = F.size("hashes"), lambda i: F.when(i > 0, 31 * F.col("hashes")[i - 1]).otherwise(0)
@@ -54,33 +54,37 @@ def chunk_text(chunk: Column) -> Column:
     return F.array_join(F.slice("lines", chunk["first"] + 1, chunk["size"]), "\n")
 
 
-def removals(docs: DataFrame, doc_id: str, text: str, every: int) -> DataFrame:
-    """(id, print, gone): the chunks to remove from each text that has any."""
-    found = (chunked(docs, doc_id, text, every).drop("row")
+def removals(df: DataFrame, every: int) -> DataFrame:
+    """(id, print, gone): the chunks to remove from each text of (id, print, body) that has any."""
+    found = (chunked(df.select("id", "print", "body"), every)
              .select("id", "print", F.explode("chunks").alias("chunk"), "lines")
              .where("chunk.size >= 2")
-             .select("id", "print", "chunk.k", chunk_text(F.col("chunk")).alias("body"))
-             .where(F.size(F.filter(F.split("body", "\n", -1), lambda line: line.rlike(WORD))) >= 2)
-             .select("id", "print", "k", "body", F.xxhash64("body").alias("key"), F.length("body").alias("chars")))
-    first = (found.groupBy("key", "chars").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k")).alias("first"))
-             .where("n > 1").select("key", "chars", "first"))
+             .select("id", "print", "chunk.k", chunk_text(F.col("chunk")).alias("piece"))
+             .where(F.size(F.filter(F.split("piece", "\n", -1), lambda line: line.rlike(WORD))) >= 2)
+             .select("id", "print", "k", "piece", F.xxhash64("piece").alias("key"), F.length("piece").alias("chars")))
+    # written first, so that Spark sees its size and may split the join on a common chunk
+    first = materialize(found.groupBy("key", "chars").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k")).alias("first"))
+                        .where("n > 1").select("key", "chars", "first"), "line-firsts")
     met = materialize(found.join(first, ["key", "chars"])
-                      .select("key", "id", "print", "k", "body", (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("k") == F.col("first.k"))).alias("is_first")), "line-chunks")
-    kept = met.where("is_first").groupBy("key").agg(F.min("body").alias("kept_body"))
-    return (met.where("not is_first").join(kept, "key").where("body = kept_body")
+                      .select("key", "id", "print", "k", "piece", (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("k") == F.col("first.k"))).alias("is_first")), "line-chunks")
+    kept = materialize(met.where("is_first").groupBy("key").agg(F.min("piece").alias("kept_piece")), "line-kept")
+    return (met.where("not is_first").join(kept, "key").where("piece = kept_piece")
             .groupBy("id", "print").agg(F.collect_set("k").alias("gone")))
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", every: int = EVERY) -> DataFrame:
     """``docs`` with repeated chunks cut from ``text``, and the columns ``ADDED``."""
-    gone = removals(docs, doc_id, text, every).select(F.col("id").alias("gone_id"), F.col("print").alias("gone_print"), "gone")
-    d = chunked(docs, doc_id, text, every)
-    d = d.join(gone, d["id"].eqNullSafe(gone["gone_id"]) & (d["print"] == gone["gone_print"]), "left")
+    own = Own(docs)
+    d = own.df.withColumns({"id": own[doc_id], "body": own[text], "print": F.xxhash64(own[text])})
+    gone = removals(d, every).select(F.col("id").alias("gone_id"), F.col("print").alias("gone_print"), "gone")
+    # the text crosses the join once; its lines are cut again behind it
+    d = d.drop("body").join(gone, d["id"].eqNullSafe(gone["gone_id"]) & (d["print"] == gone["gone_print"]), "left")
+    d = chunked(d.withColumn("body", own[text]), every)
     left = F.filter("chunks", lambda c: F.col("gone").isNull() | ~F.array_contains("gone", c["k"]))
     removed = F.filter("chunks", lambda c: F.col("gone").isNotNull() & F.array_contains("gone", c["k"]))
-    new_text = F.when(F.col("gone").isNull(), F.col(f"row.`{text}`")).otherwise(F.array_join(F.transform(left, chunk_text), "\n"))
+    new_text = F.when(F.col("gone").isNull(), F.col("body")).otherwise(F.array_join(F.transform(left, chunk_text), "\n"))
     zero = F.lit(0).cast("long")
-    return d.select(*[(new_text if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c not in ADDED],
+    return d.select(*own.back(ADDED, {text: new_text}),
                     F.when(F.col("lines").isNull(), zero).otherwise(F.size("lines")).cast("long").alias("n_lines"),
                     F.when(F.col("lines").isNull(), zero).otherwise(F.size("chunks")).cast("long").alias("n_chunks"),
                     F.when(F.col("gone").isNull(), zero).otherwise(F.aggregate(removed, zero, lambda s, c: s + c["size"])).alias("n_removed_lines"))

@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimloom.llm.own import Own
 from dimloom.operators.ids import materialize, with_dense_ids
 
 #: No source's target is above this many times its size.
@@ -107,9 +108,9 @@ def mix_sources(docs: DataFrame, seed: int = 17, source: str = "source", doc_id:
     Columns of these names in ``docs`` are replaced.
     """
     added = ["size", "source_size", "target", "taken", "starts"]
-    own = [c for c in docs.columns if c not in added]
-    key = F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
-    sized = docs.select(F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), key.alias("key"))
+    own = Own(docs)
+    rows = own.df.withColumns({"source": own[source], "size": word_count(own[text]), "key": F.xxhash64(F.lit(seed), own[doc_id], own[text])})
+    sized = rows.select("source", "size", "key")
     sizes = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sizes")
     goals = materialize(targets(sizes), "mix-targets")
     whole = sizes.agg(F.sum("source_size")).first()[0] or 0
@@ -132,11 +133,10 @@ def mix_sources(docs: DataFrame, seed: int = 17, source: str = "source", doc_id:
                        F.when(here, F.aggregate("slots", F.lit(0).cast("long"), lambda s, w: s + (w > low).cast("long"))).otherwise(0).alias("starts"))
             .groupBy("source", "key", "size", "copy").agg(F.sum("taken").alias("taken"), F.sum("starts").alias("starts")))
     # rows alike in everything are told apart by a number, whichever gets which
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), key.alias("key"))
     rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("key", "source").orderBy(F.lit(1))) - 1)
     used = used.select(F.col("source").alias("_source"), F.col("key").alias("_key"), F.col("copy").alias("_copy"), "taken", "starts")
     goals = goals.select(F.col("source").alias("_goal"), "source_size", "target")
     out = rows.join(used, (rows["key"] == used["_key"]) & rows["source"].eqNullSafe(used["_source"]) & (rows["copy"] == used["_copy"]), "left")
     out = out.join(goals, out["source"].eqNullSafe(goals["_goal"]))
     none = F.lit(0).cast("long")
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in own], "size", "source_size", "target", F.coalesce("taken", none).alias("taken"), F.coalesce("starts", none).cast("long").alias("starts"))
+    return out.select(*own.back(added), "size", "source_size", "target", F.coalesce("taken", none).alias("taken"), F.coalesce("starts", none).cast("long").alias("starts"))

@@ -1,8 +1,8 @@
 """Substring dedup by paths of repeated token k-mers, compacted and verified on source coordinates.
 
 The k-mers (``WINDOW`` words) of all texts are the edges of a De Bruijn graph
-whose nodes are their overlaps. An edge's source is its occurrence in the
-document with the smallest id. Steps:
+whose nodes are their overlaps. An occurrence's source is one in a document
+with a smaller id: the smallest of those that meet it first. Steps:
 
 1. Edges are routed by their minimizer (the least hash of their 5-word parts),
    so neighbouring edges of a path travel together and equal edges meet. A

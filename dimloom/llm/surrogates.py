@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimloom.llm.lines import computed
+from dimloom.llm.own import Own
 from dimloom.operators.ids import materialize
 
 ROUNDS = 24
@@ -167,7 +168,8 @@ def rendered(kind: Column, value: Column, made: Column) -> Column:
 
 def replace_entities(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with every entity of ``text`` replaced, and ``n_entities``."""
-    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "n_entities"]).alias("row"), F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("body"))
+    own = Own(docs)
+    found = own.df.withColumns({"id": own[doc_id], "body": own[text]})
     hit = F.coalesce(F.col("body").rlike(PATTERN), F.lit(False))
     held = found.where(hit).withColumn("print", F.xxhash64("body"))
     held = computed(held, "matches", F.regexp_extract_all("body", F.lit(PATTERN), F.lit(0)))
@@ -188,6 +190,6 @@ def replace_entities(docs: DataFrame, key: str, doc_id: str = "doc_id", text: st
     changed = F.array_join(F.transform("gaps", lambda gap, i: F.concat(gap, F.when(i < F.size("matches"), F.element_at("news", F.col("matches")[i])).otherwise(""))), "")
 
     def out(df: DataFrame, new_text: Column, n: Column) -> DataFrame:
-        return df.select(*[(new_text if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c != "n_entities"], n.cast("long").alias("n_entities"))
+        return df.select(*own.back(["n_entities"], {text: new_text}), n.cast("long").alias("n_entities"))
 
     return out(found.where(~hit), F.col("body"), F.lit(0)).unionByName(out(held, changed, F.size("matches")))
