@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.llm.words import Words, slices
+from dimloom.llm.words import Words, mix, slices
 from dimloom.operators.ids import materialize
 
 CAPACITY = 4096
@@ -39,43 +40,61 @@ ROOM = 16
 FAN_IN = 100_000
 #: A later round must lower the number of bins by this share, or it is the last.
 GAIN = 0.01
-#: The most words whose ids a worker keeps.
-CACHE = 300_000
+#: The most words whose ids a worker keeps (about 50 bytes each).
+CACHE = 2_000_000
+U = np.uint64
 
 
 class Encoder:
-    """Ids of texts, by words: each distinct word is encoded once while it stays in the cache."""
+    """Ids of texts, by words: each distinct word is encoded once while it stays in the cache.
+
+    The cache is keyed by 64-bit hashes, and holds (hash, place and number of
+    its ids) sorted by hash. The tokenizer lower-cases, so words that differ
+    in ASCII case share an entry, but for those with a ``|``: the special
+    tokens, which hold one, are told apart before that.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each of these distinct words."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = words
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, np.uint32)) for w, e in zip(new, found))
-        return [self.known[w] for w in words]
+        self.forget()
+
+    def forget(self) -> None:
+        self.hash, self.at, self.size, self.flat = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def place(self, keys: np.ndarray, word: Callable[[int], str]) -> np.ndarray:
+        """Places in the cache of these sorted keys, the words of which are encoded if they are new."""
+        found = np.searchsorted(self.hash, keys)
+        new = np.ones(len(keys), bool)
+        inside = found < len(self.hash)
+        new[inside] = self.hash[found[inside]] != keys[inside]
+        if len(self.hash) + new.sum() > CACHE:
+            self.forget()
+            found, new = np.zeros(len(keys), np.int64), np.ones(len(keys), bool)
+        index = np.flatnonzero(new)
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast([word(k) for k in index.tolist()], add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        at = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
+        self.hash, self.at, self.size = (np.insert(a, found[index], b) for a, b in ((self.hash, keys[index]), (self.at, at), (self.size, size)))
+        return np.searchsorted(self.hash, keys)
 
     def texts(self, column: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text of a column."""
-        w = Words(column)
-        _, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
-        raw = w.data.tobytes()
-        ids = self.words([raw[a:b] for a, b in zip(w.start[first].tolist(), w.end[first].tolist())])
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate([np.zeros(0, np.uint32), *ids])
-        at = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
-        length = size[back]
+        w = Words(column, lower=True)
+        bars = np.concatenate([[0], np.cumsum(w.data == ord("|"))])
+        keys, barred = w.hash, np.flatnonzero(bars[w.end] > bars[w.start])
+        if len(barred):
+            keys = keys.copy()
+            keys[barred] = mix(Words(column).hash[barred])
+        keys, first, back = np.unique(keys, return_index=True, return_inverse=True)
+        raw, start, end = w.data.tobytes(), w.start[first].tolist(), w.end[first].tolist()
+        place = self.place(keys, lambda k: raw[start[k]:end[k]].decode())
+        length = self.size[place][back]
         total = np.concatenate([[0], np.cumsum(length)])
-        # position of each id of the slice in ``flat``
-        source = np.arange(total[-1]) + np.repeat(at[back] - total[:-1], length)
-        every = flat[source]
+        # place of each id of the slice in the cache
+        every = self.flat[np.arange(total[-1]) + np.repeat(self.at[place][back] - total[:-1], length)]
         for a, b in zip(w.first[:-1], w.first[1:]):
             yield every[total[a]:total[b]]
 
