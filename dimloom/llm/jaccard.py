@@ -2,10 +2,11 @@
 
 Two texts whose shingle sets have a Jaccard similarity of t or more share a
 token among the first ``n - ceil(t n) + 1`` of each, whatever the one global
-order of all tokens. So several orders are used: all put tokens of a higher
-estimated corpus frequency later (a count sketch of fixed size over every
-text), and break ties by differently seeded hashes. A pair is verified only
-if it shares a prefix token under every order.
+order of all tokens. So several orders are used: each puts a token the later
+the more frequent its rarest word is in the corpus (by a count sketch of
+fixed size over every text), in finer or coarser steps, and breaks ties by
+hashes of its own seed. A pair is verified only if it shares a prefix token
+under every order.
 
 1. Texts become sets of 64-bit shingle hashes; equal sets form one class.
 2. Prefix tokens of the first order are grouped; a token that two or more
@@ -50,20 +51,34 @@ BLOCK_ROWS = 512
 BLOCK_SHINGLES = 400_000
 
 
-def shingle_sets(column: pa.Array, size: int, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(text, shingle) of each distinct shingle of each text, sorted by both."""
+def shingle_sets(column: pa.Array, size: int, lower: bool, levels: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, shingle, level) of each distinct shingle of each text, sorted by the first two.
+
+    A shingle's level is its rarest word's (0 without ``levels``).
+    """
     w = Words(column, lower)
     at, hashes = w.windows(size)
     text = w.text[at]
-    for d in np.flatnonzero((w.count > 0) & (w.count < size)):
-        whole = w.hash[w.first[d]:w.first[d + 1]]
-        _, one = windows(whole, np.array([0, len(whole)]), len(whole))
-        text, hashes = np.append(text, d), np.append(hashes, mix(one ^ U(len(whole))))
+    level = np.zeros(len(at), np.uint8)
+    if levels is not None:
+        own = levels[(w.hash & U(SKETCH - 1)).astype(np.int64)]
+        level = own[at]
+        for k in range(1, size):
+            level = np.minimum(level, own[at + k])
+    short = np.flatnonzero((w.count > 0) & (w.count < size))
+    if len(short):
+        more = []
+        for d in short:
+            whole = w.hash[w.first[d]:w.first[d + 1]]
+            _, one = windows(whole, np.array([0, len(whole)]), len(whole))
+            more.append(mix(one ^ U(len(whole))))
+        text, hashes = np.append(text, short), np.concatenate([hashes, *more])
+        level = np.append(level, np.zeros(len(short), np.uint8) if levels is None else [own[w.first[d]:w.first[d + 1]].min() for d in short]).astype(np.uint8)
     order = np.lexsort((hashes, text))
-    text, hashes = text[order], hashes[order]
+    text, hashes, level = text[order], hashes[order], level[order]
     new = np.ones(len(text), bool)
     new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
-    return text[new], hashes[new]
+    return text[new], hashes[new], level[new]
 
 
 def starts(text: np.ndarray, texts: int) -> np.ndarray:
@@ -77,14 +92,13 @@ def signatures(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix((total[at[1:]] - total[at[:-1]]) + np.diff(at).astype(U) * U(0x9E3779B97F4A7C15))
 
 
-def frequency_sketch(docs: DataFrame, text: str, size: int, lower: bool) -> np.ndarray:
-    """Counters by the low bits of each shingle's hash, over all texts: ``4 * SKETCH`` bytes, whatever the input."""
+def frequency_sketch(docs: DataFrame, text: str, lower: bool) -> np.ndarray:
+    """Logarithms (in eighths) of counters by the low bits of each word's hash, over all texts: ``SKETCH`` bytes, whatever the input."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
             for part in slices(batch, text):
-                _, hashes = shingle_sets(part.column(text), size, lower)
-                total += np.bincount((hashes & U(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                total += np.bincount((Words(part.column(text), lower).hash & U(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
         yield pa.RecordBatch.from_pydict({"part": list(range(SKETCH // PART)), "counts": [total[k:k + PART].tobytes() for k in range(0, SKETCH, PART)]}, pa.schema([("part", pa.int32()), ("counts", pa.binary())]))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,8 +106,7 @@ def frequency_sketch(docs: DataFrame, text: str, size: int, lower: bool) -> np.n
         for batch in batches:
             for k, counts in zip(batch["part"].to_pylist(), batch["counts"].to_pylist()):
                 total[k] = total.get(k, 0) + np.frombuffer(counts, np.int64)
-        # powers of two are all that the orders need
-        yield pa.RecordBatch.from_pydict({"part": list(total), "levels": [np.log2(x + 1.0).astype(np.uint8).tobytes() for x in total.values()]}, pa.schema([("part", pa.int32()), ("levels", pa.binary())]))
+        yield pa.RecordBatch.from_pydict({"part": list(total), "levels": [np.minimum(8 * np.log2(x + 1.0), 255).astype(np.uint8).tobytes() for x in total.values()]}, pa.schema([("part", pa.int32()), ("levels", pa.binary())]))
 
     parts = docs.select(f"`{text}`").coalesce(SKETCH_TASKS).mapInArrow(count, "part int, counts binary")
     rows = parts.repartition(16, "part").mapInArrow(add, "part int, levels binary").collect()
@@ -103,14 +116,13 @@ def frequency_sketch(docs: DataFrame, text: str, size: int, lower: bool) -> np.n
     return levels
 
 
-def rank(hashes: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
-    """A token's place in a global order: frequency level first, then a seeded hash.
+def rank(hashes: np.ndarray, level: np.ndarray, order: int) -> np.ndarray:
+    """A token's place in a global order: its level (in steps that double with the order) first, then a seeded hash.
 
     The places are distinct but for the 8 bits that the level takes, and a
     tie is broken by the token itself wherever the places are sorted.
     """
-    level = levels[(hashes & U(SKETCH - 1)).astype(np.int64)].astype(U)
-    return (level << U(56)) | (mix(hashes ^ U((order + 1) * 0x2545F4914F6CDD1D & (1 << 64) - 1)) >> U(8))
+    return ((level >> np.uint8(2 * order)).astype(U) << U(56)) | (mix(hashes ^ U((order + 1) * 0x2545F4914F6CDD1D & (1 << 64) - 1)) >> U(8))
 
 
 def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
@@ -118,9 +130,9 @@ def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
     return np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
 
 
-def prefixes(text: np.ndarray, hashes: np.ndarray, at: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.ndarray:
+def prefixes(text: np.ndarray, hashes: np.ndarray, at: np.ndarray, level: np.ndarray, order: int, percent: int) -> np.ndarray:
     """Indexes of the elements that lie in their set's prefix under one order."""
-    by = np.lexsort((hashes, rank(hashes, levels, order), text))
+    by = np.lexsort((hashes, rank(hashes, level, order), text))
     place = np.arange(len(by)) - at[text[by]]
     return by[place < prefix_sizes(np.diff(at), percent)[text[by]]]
 
@@ -169,7 +181,7 @@ def spanning(u: np.ndarray, v: np.ndarray, n: int) -> list[int]:
 
 def links(texts: pa.Array, left: np.ndarray, right: np.ndarray, size: int, lower: bool, percent: int, levels: np.ndarray) -> list[tuple[int, int]]:
     """Spanning links (by index into ``texts``) between the texts marked ``left`` and those marked ``right``."""
-    row, token = shingle_sets(texts, size, lower)
+    row, token, level = shingle_sets(texts, size, lower, levels)
     n = len(texts)
     at = starts(row, n)
     count = np.diff(at)
@@ -190,7 +202,7 @@ def links(texts: pa.Array, left: np.ndarray, right: np.ndarray, size: int, lower
     for order in range(ORDERS):
         if not able.any():
             return []
-        able &= shared(prefixes(row, token, at, levels, order, percent)) > 0
+        able &= shared(prefixes(row, token, at, level, order, percent)) > 0
     if not able.any():
         return []
     part = np.zeros(n, bool)
@@ -203,29 +215,30 @@ def links(texts: pa.Array, left: np.ndarray, right: np.ndarray, size: int, lower
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, lower: bool = True, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id): one row per row of ``docs``.
+    """(doc_id, n_shingles, component_id, print): one row per row of ``docs``; ``print`` is ``xxhash64`` of its text.
 
     Texts link when ``100 * intersection >= percent * union`` of their sets
     of ``size``-word shingles; a component's id is its smallest document id.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    levels = spark.sparkContext.broadcast(frequency_sketch(docs, "text", size, lower))  # SKETCH bytes
+    printed = docs.withColumn("print", F.xxhash64("text"))
+    levels = spark.sparkContext.broadcast(frequency_sketch(docs, "text", lower))  # SKETCH bytes
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                row, token = shingle_sets(part.column("text"), size, lower)
+                row, token, level = shingle_sets(part.column("text"), size, lower, levels.value)
                 at = starts(row, part.num_rows)
                 n = np.diff(at)
-                index = prefixes(row, token, at, levels.value, 0, percent)
+                index = prefixes(row, token, at, level, 0, percent)
                 index = index[n[row[index]] >= least_partner(percent)]
                 edge = np.searchsorted(row[index], np.arange(part.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(signatures(token, at).view(np.int64), mask=n == 0),
-                     pa.ListArray.from_arrays(pa.array(edge), pa.array(token[index].view(np.int64)))], ["doc_id", "n_shingles", "node", "prefix"])
+                    [part.column("doc_id"), part.column("print"), pa.array(n.astype(np.int64)), pa.array(signatures(token, at).view(np.int64), mask=n == 0),
+                     pa.ListArray.from_arrays(pa.array(edge), pa.array(token[index].view(np.int64)))], ["doc_id", "print", "n_shingles", "node", "prefix"])
 
-    signed = materialize(docs.mapInArrow(sign, "doc_id long, n_shingles long, node long, prefix array<long>"), "jaccard-sets")
+    signed = materialize(printed.mapInArrow(sign, "doc_id long, print long, n_shingles long, node long, prefix array<long>"), "jaccard-sets")
     classes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
 
     held = signed.select("node", F.explode("prefix").alias("token"))
@@ -235,27 +248,18 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, lower:
     near = (stars.join(blocks, "star")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("star", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node"))
-    wanted = stars.groupBy("node").agg(F.min("rep").alias("rep"))
-    bodies = (docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("node", "text"))
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows whose text is the class's own (an id may stand for several texts), once each in a batch."""
-        for batch in batches:
-            for part in slices(batch, "text"):
-                row, token = shingle_sets(part.column("text"), size, lower)
-                mine = signatures(token, starts(row, part.num_rows)).view(np.int64) == part.column("node").to_numpy()
-                yield part.filter(pa.array(mine))
-
-    met = near.join(bodies.mapInArrow(own, "node long, text string"), "node")
+            .select("star", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "rep"))
+    met = docs.join(near, docs["doc_id"].eqNullSafe(near["rep"]))
 
     def link(table: pa.Table) -> pa.Table:
+        # an id may stand for several texts: only a class's own is taken, and once
+        row, token, _ = shingle_sets(table["text"].combine_chunks(), size, lower)
+        mine = np.flatnonzero(signatures(token, starts(row, table.num_rows)).view(np.int64) == table["node"].to_numpy())
+        node, once = np.unique(table["node"].to_numpy()[mine], return_index=True)
         found: list[tuple[int, int]] = []
-        node = table["node"].to_numpy()
-        _, once = np.unique(node, return_index=True)
-        table, node = table.take(pa.array(once)), node[once]
-        block, i, j = table["block"].to_numpy(), table["i"][0].as_py() if len(once) else 0, table["j"][0].as_py() if len(once) else 0
-        if len(once) > 1:
+        if len(node) > 1:
+            table = table.take(pa.array(mine[once]))
+            block, i, j = table["block"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
             found = links(table["text"].combine_chunks(), block == i, block == j, size, lower, percent, levels.value)
         return pa.table({"u": pa.array([node[a] for a, _ in found], pa.int64()), "v": pa.array([node[b] for _, b in found], pa.int64())})
 
@@ -264,5 +268,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, lower:
     named = parts.join(classes, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     grouped = parts.join(named, "component").select("node", "component_id")
     every = classes.join(grouped, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
-    return (signed.select("doc_id", "n_shingles", "node").join(every, "node", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+    return (signed.select("doc_id", "print", "n_shingles", "node").join(every, "node", "left")
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "print"))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose group has a smaller id (rows that repeat an id are one document, and stay)."""
+    found = jaccard_components(docs, size, percent, doc_id=doc_id, text=text)
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"), F.col("print").alias("gone_print")).distinct()
+    return docs.join(gone, docs[doc_id].cast("long").eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs[text]) == gone["gone_print"]), "left_anti")
