@@ -1,6 +1,4 @@
 from dimloom.functions.columns import (  # noqa: F401
-    as_local_timestamp,
-    as_text,
     fill_default,
     json_field,
     nested_field,

@@ -48,12 +48,3 @@ def fill_default(df: DataFrame, columns: list[str] | None = None,
 def period_text(d) -> Column:
     """Date -> ``dd.MM.yyyy`` as used in the feed URL."""
     return F.date_format(_c(d), PERIOD_FORMAT)
-
-
-def as_text(c) -> Column:
-    return _c(c).cast("string")
-
-
-def as_local_timestamp(c) -> Column:
-    """Instant -> timestamp without zone (output cast)."""
-    return _c(c).cast("timestamp_ntz")

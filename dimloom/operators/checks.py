@@ -1,14 +1,17 @@
 """Table constraints as data checks; each returns the violating rows.
 
 Parquet does not enforce NOT NULL, UNIQUE or FOREIGN KEY, so a cycle runs
-these and refuses to publish when any returns rows. All are single-pass and
-distributed: the unique check aggregates partially before its shuffle, the
-foreign-key check is an anti-join planned by AQE.
+these on its delta and refuses to publish when any returns rows. All are
+single-pass and distributed: the row checks filter before they expand (IS
+NULL reaches the scan), the unique check aggregates partially before its
+shuffle, and the foreign-key counts aggregate the child per key before the
+anti-join, so a hot key is one row of it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +20,9 @@ from dimloom.constants import LENGTH_LIMITS
 
 
 def _violations(df: DataFrame, flags: Mapping[str, object], keep: Sequence[str]) -> DataFrame:
+    found = reduce(lambda a, b: a | b, flags.values())
     names = F.array(*[F.when(cond, F.lit(name)) for name, cond in flags.items()])
-    return (df.select(*keep, F.filter(names, lambda x: x.isNotNull()).alias("_v"))
+    return (df.where(found).select(*keep, F.filter(names, lambda x: x.isNotNull()).alias("_v"))
               .select(*keep, F.explode("_v").alias("violation")))
 
 
@@ -46,17 +50,33 @@ def check_fk(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
              parent_cols: Sequence[str] | None = None) -> DataFrame:
     """Child rows whose non-NULL reference has no parent row."""
     parent_cols = list(parent_cols or child_cols)
-    p = parent.select(*[F.col(pc).alias(cc) for pc, cc in zip(parent_cols, child_cols)]).distinct()
+    p = parent.select(*[F.col(pc).alias(cc) for pc, cc in zip(parent_cols, child_cols)])
     nn = F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in child_cols))
     return child.where(nn).join(p, list(child_cols), "left_anti")
 
 
 def fk_orphan_counts(relations: Sequence[tuple[str, DataFrame, DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:
-    """``(relation, orphans)`` for several foreign keys at once."""
-    parts = [check_fk(c, p, cc, pc).agg(F.count(F.lit(1)).alias("orphans"))
-             .select(F.lit(name).alias("relation"), "orphans")
-             for name, c, p, cc, pc in relations]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """``(relation, orphans)`` for several foreign keys at once.
+
+    Relations of one child frame share one scan of it: its rows are counted
+    per (relation, key) first, and those counts meet the parents' keys.
+    """
+    def key(columns):
+        return F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(columns)]))
+
+    children: dict[int, tuple[DataFrame, list]] = {}
+    for r in relations:
+        children.setdefault(id(r[1]), (r[1], []))[1].append(r)
+    counts, parents = [], []
+    for child, own in children.values():
+        refs = [F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cc]),
+                       F.struct(F.lit(name).alias("relation"), key(cc).alias("key"))) for name, _, _, cc, _ in own]
+        counts.append(child.select(F.explode(F.array(*refs)).alias("r")).where("r is not null")
+                           .groupBy("r.relation", "r.key").agg(F.count(F.lit(1)).alias("n")))
+    for name, _, parent, _, pc in relations:
+        parents.append(parent.select(F.lit(name).alias("relation"), key(pc).alias("key")))
+    orphans = (reduce(DataFrame.unionByName, counts).join(reduce(DataFrame.unionByName, parents), ["relation", "key"], "left_anti")
+               .groupBy("relation").agg(F.sum("n").alias("orphans")))
+    spark = relations[0][1].sparkSession
+    names = spark.range(1).select(F.explode(F.array(*[F.lit(r[0]) for r in relations])).alias("relation"))
+    return names.join(orphans, "relation", "left").select("relation", F.coalesce("orphans", F.lit(0)).cast("long").alias("orphans"))

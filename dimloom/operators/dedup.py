@@ -53,8 +53,3 @@ def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     """
     cols = list(columns) if columns else df.columns
     return df.select(*cols).distinct()
-
-
-def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``SELECT DISTINCT cols`` for dimension sources and option lists."""
-    return df.select(*columns).distinct()

@@ -43,7 +43,7 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           update_cols: Sequence[str], id_col: str = "id") -> DataFrame:
+           update_cols: Sequence[str], id_col: str = "id", written: bool = False) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols = EXCLUDED.*``.
 
     * key only in target: row unchanged;
@@ -51,7 +51,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
       the id keep the target's (first-inserted) value;
     * key only in source: inserted with a new dense id.
 
-    The source must hold one row per key. The matched side is chosen by a
+    The source must hold one row per key; it is written to the shared folder
+    first unless ``written`` says that it is read from a table. The matched side is chosen by a
     match flag, not ``coalesce``, so a NULL source value still overwrites.
     Shape at scale: the target is left-joined to the (usually small) delta,
     which AQE broadcasts when its measured size allows, so the large target
@@ -61,7 +62,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     keys = list(keys)
     update_cols = list(update_cols)
     cols = [c for c in target.columns if c != id_col]
-    source = materialize(source)  # read twice below; compute the delta once
+    if not written:
+        source = materialize(source)  # read twice below; compute the delta once
     s = source.select(*keys, *update_cols).withColumn("_hit", F.lit(True))
     s = s.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in update_cols], "_hit")
     merged = target.join(s, keys, "left")
@@ -69,6 +71,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         id_col,
         *[(F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
            if c in update_cols else F.col(c)) for c in cols])
-    new_rows = source.join(target.select(*keys), keys, "left_anti")
+    matched = target.select(*keys).join(source.select(*keys), keys, "left_semi")
+    new_rows = source.join(matched, keys, "left_anti")
     inserted = with_dense_ids(new_rows, keys, id_col, base=_base_id(target, id_col))
     return kept.unionByName(inserted.select(id_col, *cols))

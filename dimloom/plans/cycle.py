@@ -11,7 +11,9 @@ Order and semantics of a cycle:
    their source) with new dense ids; existing ids never change;
 5. mart: build the windowed rows and upsert them (update date, status,
    okved_code, okved_text; keep the rest);
-6. publish the version (manifest written last).
+6. constraints: NOT NULL, lengths, unique keys and foreign keys of the
+   cycle's own rows; any violation ends the cycle unpublished;
+7. publish the version (manifest written last).
 
 Each step writes its delta under the new cycle number and the next step
 reads it back, so no step re-derives an earlier one.
@@ -21,40 +23,94 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimloom.constants import MART_KEYS, MART_UPDATE_COLS
 from dimloom.operators import watermark as wmk
-from dimloom.operators.checks import check_not_null
+from dimloom.operators.checks import check_fk, check_length, check_not_null, check_unique
 from dimloom.operators.dedup import distinct_rows
+from dimloom.operators.ids import materialize
 from dimloom.operators.upsert import new_members, upsert
 from dimloom.plans.mart import build_mart
 from dimloom.plans.shape import SHAPERS
-from dimloom.schemas import DIMENSIONS, KIND_TO_STG, STG_COLUMNS, STG_SCHEMAS
+from dimloom.schemas import (DIMENSIONS, KIND_TO_STG, MART_FOREIGN_KEYS, MART_SCHEMA, STG_COLUMNS,
+                             STG_SCHEMAS)
 from dimloom.sources.state import StateStore
 
 log = logging.getLogger("dimloom.cycle")
 
 
 def new_stage_rows(shaped: DataFrame, stg: DataFrame, table: str) -> DataFrame:
-    """Shaped rows not yet in staging (whole business row, NULL-safe)."""
+    """Shaped rows not yet in staging (whole business row, NULL-safe).
+
+    Equal rows have equal ``dfrom``, so only the history inside the pull's
+    ``dfrom`` range is read: the range is pushed into the scan.
+    """
     cols = STG_COLUMNS[table]
-    s = distinct_rows(shaped, cols).alias("n")
+    pull = distinct_rows(shaped, cols)
+    low, high = shaped.agg(F.min("dfrom"), F.max("dfrom")).first()
+    if low is not None:
+        kind = stg.schema["dfrom"].dataType
+        stg = stg.where(F.col("dfrom").between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+    s = pull.alias("n")
     t = stg.select(*cols).alias("o")
     cond = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in cols]
     return s.join(t, cond, "left_anti").select(*[F.col(f"n.{c}") for c in cols])
 
 
+class ConstraintViolation(ValueError):
+    """Rows of a cycle break a table constraint; nothing was published."""
+
+
+def _required(schema) -> list[str]:
+    return [f.name for f in schema.fields if not f.nullable]
+
+
+def _refuse(where: str, found: list[DataFrame]) -> None:
+    """Raise if any of these (relation, key) frames has a row; a few examples reach the driver."""
+    rows = reduce(DataFrame.unionByName, found).limit(5).collect()
+    if rows:
+        raise ConstraintViolation(f"{where}: " + "; ".join(f"{r['violation']} ({r['example']})" for r in rows))
+
+
+def _example(df: DataFrame, violation, columns) -> DataFrame:
+    return df.select(violation.alias("violation"), F.to_json(F.struct(*[F.col(c) for c in columns])).alias("example"))
+
+
+def check_pull(shaped: DataFrame, table: str) -> None:
+    """NOT NULL and lengths of one feed's shaped rows."""
+    required = [f for f in _required(STG_SCHEMAS[table]) if f in shaped.columns]
+    _refuse(f"feed {table}", [_example(check_not_null(shaped, required, ["ngrn"]), F.concat(F.lit("null "), "violation"), ["ngrn"]),
+                              _example(check_length(shaped, keep=["ngrn"]), F.concat(F.lit("too long: "), "violation"), ["ngrn"])])
+
+
+def check_mart(rows: DataFrame, dims: Mapping[str, DataFrame]) -> None:
+    """NOT NULL, lengths, unique keys and foreign keys of the rows that a cycle brings to the mart."""
+    required = [c for c in _required(MART_SCHEMA) if c in rows.columns]
+    keys = list(MART_KEYS)
+    found = [_example(check_not_null(rows, required, keys), F.concat(F.lit("null "), "violation"), keys),
+             _example(check_length(rows, keep=keys), F.concat(F.lit("too long: "), "violation"), keys),
+             _example(check_unique(rows, keys), F.lit("key occurs twice"), keys)]
+    for column, (dim, parent) in MART_FOREIGN_KEYS.items():
+        found.append(_example(check_fk(rows, dims[dim], [column], [parent]), F.lit(f"{column} is not in dim_{dim}"), [*keys, *({column} - {*keys})]))
+    _refuse("mart", found)
+
+
 def _typed(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                        for f in STG_SCHEMAS[table].fields])
 
 
 def run_cycle(store: StateStore, feeds: Mapping[str, DataFrame], batch_id: int | None = None,
-              prune: bool | str = "auto", strict: bool = True) -> int:
-    """Run one cycle over ``feeds`` (kind -> raw feed rows); returns the version."""
+              strict: bool = True, pull: str | None = None) -> int:
+    """Run one cycle over ``feeds`` (kind -> raw feed rows); returns the version.
+
+    ``strict=False`` leaves the constraints unchecked. ``pull`` names the pull
+    in the manifest.
+    """
     prev, _ = store.latest()
     if prev < 0:
         prev = store.initialize()
@@ -65,11 +121,10 @@ def run_cycle(store: StateStore, feeds: Mapping[str, DataFrame], batch_id: int |
 
     # 1-2. staging deltas
     for kind, table in KIND_TO_STG.items():
-        shaped = _typed(SHAPERS[kind](feeds[kind]), table)
+        # the feed's files are read once
+        shaped = materialize(_typed(SHAPERS[kind](feeds[kind]), table), "pull")
         if strict:
-            bad = check_not_null(shaped, ["ngrn", "dfrom"], keep=["ngrn"]).limit(1).count()
-            if bad:
-                raise ValueError(f"{kind}: NULL ngrn or dfrom in the pull")
+            check_pull(shaped, table)
         store.write(f"stg_{table}", new_stage_rows(shaped, store.read(f"stg_{table}", prev), table), cyc)
     stg = {t: store.read(f"stg_{t}", cyc) for t in STG_SCHEMAS}
 
@@ -85,12 +140,15 @@ def run_cycle(store: StateStore, feeds: Mapping[str, DataFrame], batch_id: int |
         store.write(f"dim_{name}", new_members(store.read(f"dim_{name}", prev), fresh, keys), cyc)
 
     # 5. mart
-    rows = build_mart(stg["short"], stg["okved"], stg["address"],
-                      priors["short"], priors["okved"], priors["address"], prune=prune)
-    store.write("mart", upsert(store.read("mart", prev), rows, MART_KEYS, MART_UPDATE_COLS), cyc)
-
-    # 6. publish
-    store.publish(cyc, batch_id)
+    rows = materialize(build_mart(stg["short"], stg["okved"], stg["address"],
+                                  priors["short"], priors["okved"], priors["address"], prune=True), "mart-rows")
+    # 6. constraints
+    if strict:
+        check_mart(rows, {d: store.read(f"dim_{d}", cyc) for d, _ in MART_FOREIGN_KEYS.values()})
+    store.write("mart", upsert(store.read("mart", prev), rows, MART_KEYS, MART_UPDATE_COLS, written=True), cyc)
+
+    # 7. publish
+    store.publish(cyc, batch_id, pull)
     log.info("published version %s", cyc)
     return cyc
 

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimloom.constants import NONE_TEXT
+from dimloom.operators.ids import materialize
 from dimloom.schemas import MART_COLUMNS
 
 # Side -> (struct field, source column) in the side's own order.
@@ -72,23 +73,16 @@ def changed_keys(short: DataFrame, okved: DataFrame, address: DataFrame,
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
 
 
-def _pruned(short, okved, address, prior_short, prior_okved, prior_address, prune,
-            broadcast_keys: int):
-    """Optionally restrict all three inputs to changed keys before aggregating.
+def _pruned(short, okved, address, prior_short, prior_okved, prior_address, prune: bool):
+    """Restrict all three inputs to the changed keys before aggregating.
 
-    Row-level freshness is still applied afterwards (history rows of a
-    changed key are not themselves fresh). ``"auto"`` counts the changed keys
-    (one scalar) and broadcasts them only under ``broadcast_keys``; above it
-    the aggregates run on the full inputs, which is correct either way.
+    The keys are computed once (written to the shared folder), so Spark knows
+    their size and picks each semi-join; row-level freshness is still applied
+    afterwards (history rows of a changed key are not themselves fresh).
     """
     if not prune:
         return short, okved, address
-    keys = changed_keys(short, okved, address, prior_short, prior_okved, prior_address)
-    if prune == "auto":
-        n = keys.count()
-        if n > broadcast_keys:
-            return short, okved, address
-        keys = F.broadcast(keys)
+    keys = materialize(changed_keys(short, okved, address, prior_short, prior_okved, prior_address), "changed-keys")
     return tuple(df.join(keys, "ngrn", "left_semi") for df in (short, okved, address))
 
 
@@ -107,7 +101,7 @@ def _candidate(s: str, o: str, a: str) -> Column:
 
 def build_mart(short: DataFrame, okved: DataFrame, address: DataFrame,
                prior_short: Column, prior_okved: Column, prior_address: Column,
-               prune: bool | str = False, broadcast_keys: int = 2_000_000) -> DataFrame:
+               prune: bool = False) -> DataFrame:
     """Mart rows (no id) for the (org_name, ngrn) groups inside the window.
 
     Inputs use the staging column names: short (ngrn, dfrom, org_name,
@@ -117,7 +111,7 @@ def build_mart(short: DataFrame, okved: DataFrame, address: DataFrame,
     side never fresh.
     """
     short, okved, address = _pruned(short, okved, address, prior_short, prior_okved,
-                                    prior_address, prune, broadcast_keys)
+                                    prior_address, prune)
     j = _side_maxima(short, okved, address, prior_short, prior_okved, prior_address)
     c1 = F.when(F.col("s_new").isNotNull(), _candidate("s_new", "o_all", "a_all"))
     c2 = F.when(F.col("a_new").isNotNull(), _candidate("s_all", "o_all", "a_new"))

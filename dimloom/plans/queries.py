@@ -23,11 +23,11 @@ from dimloom.operators.ids import with_dense_ids
 from dimloom.operators.upsert import insert_ignore, new_members, upsert
 from dimloom.plans import mart as mart_plan
 from dimloom.plans.shape import SHAPERS
-from dimloom.plans.standins import (FEED_ORDER, MART_COLS_SQL, SEED_SQL, SQL_BASE, STG_COLS_SQL,
+from dimloom.plans.standins import (FEED_ORDER, SEED_SQL, SQL_BASE, STG_COLS_SQL,
                                     Standins, feed_schema_ntz, joined_sql, mart_sql)
-from dimloom.schemas import DIMENSIONS, MART_COLUMNS, STG_COLUMNS
+from dimloom.schemas import DIMENSIONS, MART_COLUMNS, MART_FOREIGN_KEYS, STG_COLUMNS
 from dimloom.session import scratch_dir
-from dimloom.sources.feeds import read_feed, write_feed
+from dimloom.sources.feeds import read_feed, write_empty_feed, write_feed
 from dimloom.sources.sinks import append
 
 Q = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +153,31 @@ def q_dedup_row_number(spark, sf):
                  .filter(F.col("rnum") == 1).drop("rnum"))
 
 
+@query("dedup_address", SQL_BASE + """
+SELECT id, ngrn, location FROM (
+  SELECT event_id AS id, ngrn, location, row_number() OVER (PARTITION BY ngrn, location ORDER BY event_id) AS rnum
+  FROM stg_address) t
+WHERE rnum = 1""")
+def q_dedup_address(spark, sf):
+    raw = _stg(spark, sf).raw_address()
+    rows = fill_default(raw.select(F.col("event_id").alias("id"), "ngrn", nested_field("nsi00202", "vnsfull").alias("location")))
+    return dedup.number_within(rows, ["ngrn", "location"], ["id"]).filter(F.col("rnum") == 1).drop("rnum")
+
+
+@query("dedup_okved", SQL_BASE + """
+SELECT l_orderkey, l_linenumber, okved_code, okved_text FROM (
+  SELECT l_orderkey, l_linenumber, okved_code, okved_text,
+         row_number() OVER (PARTITION BY okved_code, okved_text ORDER BY l_orderkey, l_linenumber) AS rnum
+  FROM stg_okved) t
+WHERE rnum = 1""")
+def q_dedup_okved(spark, sf):
+    raw = _stg(spark, sf).raw_okved()
+    rows = fill_default(raw.select("l_orderkey", "l_linenumber", nested_field("nsi00114", "vkvdn").alias("okved_code"),
+                                   nested_field("nsi00114", "vnvdnp").alias("okved_text")))
+    return (dedup.number_within(rows, ["okved_code", "okved_text"], ["l_orderkey", "l_linenumber"])
+                 .filter(F.col("rnum") == 1).drop("rnum"))
+
+
 @query("stg_distinct", "SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem) t")
 def q_stg_distinct(spark, sf):
     li = _stg(spark, sf).table("lineitem")
@@ -387,6 +412,8 @@ def q_surrogate_ids(spark, sf):
 # Checks (C1-C4, J5)
 # --------------------------------------------------------------------------
 FK_RELATIONS = [
+    # activities of a key without a short row: the one relation here that has orphans
+    ("lineitem.l_partkey->orders.o_custkey", "lineitem", "orders", ["l_partkey"], ["o_custkey"]),
     ("orders.o_custkey->customer", "orders", "customer", ["o_custkey"], ["c_custkey"]),
     ("lineitem.l_orderkey->orders", "lineitem", "orders", ["l_orderkey"], ["o_orderkey"]),
     ("lineitem.l_partkey->part", "lineitem", "part", ["l_partkey"], ["p_partkey"]),
@@ -402,8 +429,25 @@ FK_RELATIONS = [
     for n, c, p, cc, pc in FK_RELATIONS))
 def q_fk_orphans(spark, sf):
     s = _stg(spark, sf)
-    return checks.fk_orphan_counts([(n, s.table(c), s.table(p), cc, pc)
-                                    for n, c, p, cc, pc in FK_RELATIONS])
+    frames = {n: s.table(n) for r in FK_RELATIONS for n in r[1:3]}  # one scan for each child
+    return checks.fk_orphan_counts([(n, frames[c], frames[p], cc, pc) for n, c, p, cc, pc in FK_RELATIONS])
+
+
+MART_FK_SQL = " UNION ALL ".join(
+    f"SELECT 'mart.{c}->dim_{d}' AS relation, count(*) AS orphans FROM mart WHERE {c} IS NOT NULL AND {c} NOT IN "
+    f"(SELECT {src} FROM stg_short WHERE dfrom >= (SELECT ps FROM p) AND {src} IS NOT NULL)"
+    for (c, (d, _)), src in zip(MART_FOREIGN_KEYS.items(), ("ngrn", "org_type", "dfrom", "status")))
+
+
+@query("mart_fk_orphans", SQL_BASE + f", mart AS ({mart_sql()}) " + MART_FK_SQL)
+def q_mart_fk_orphans(spark, sf):
+    """The mart's keys against dimensions of the fresh rows only: an old short
+    row made fresh by its address or activity has its keys in no dimension."""
+    s = _stg(spark, sf)
+    rows = mart_plan.build_mart(*_mart_inputs(s), *s.priors())
+    fresh = wmk.fresh(s.stg_short(), s.prior("short"))
+    dims = {d: fresh.select(*[F.col(a).alias(b) for a, b in DIMENSIONS[d][1]]).distinct() for d, _ in MART_FOREIGN_KEYS.values()}
+    return checks.fk_orphan_counts([(f"mart.{c}->dim_{d}", rows, dims[d], [c], [p]) for c, (d, p) in MART_FOREIGN_KEYS.items()])
 
 
 @query("check_not_null", """
@@ -556,7 +600,7 @@ def q_stg_append(spark, sf):
 
 
 # --------------------------------------------------------------------------
-# Cycles: batch and stream (R1, R2, R5) — stateful, rows-only check
+# Cycles: batch and stream
 # --------------------------------------------------------------------------
 def _two_pulls(spark, sf):
     """Feeds from the tables, split into two pulls at the short prior mark."""
@@ -567,6 +611,9 @@ def _two_pulls(spark, sf):
     land_feeds(s, f"{root}/feeds")
     cut, _ = _feed_period(s, "short")
     day_before = cut - _dt.timedelta(days=1)
+    for kind in FEED_KINDS:  # a pull without a row of some kind is an empty answer, not an absent one
+        for day in (day_before, cut):
+            write_empty_feed(spark, f"{root}/feeds", kind, day)
     write_pull(spark, f"{root}/pulls", 1, f"{root}/feeds", "1900-01-01", day_before, "lines")
     write_pull(spark, f"{root}/pulls", 2, f"{root}/feeds", cut, "2100-12-31", "lines")
     return root, cut
@@ -576,31 +623,82 @@ def _ntz_schemas():
     return {k: feed_schema_ntz(k) for k in FEED_KINDS}
 
 
-@query("cycle_stream")
-def q_cycle_stream(spark, sf):
+def _streamed(spark, sf):
+    """(root, cut, store) after both pulls went through the stream."""
     from dimloom.sources.state import StateStore
     from dimloom.streaming.cycle_stream import start_cycle_stream
 
-    root, _ = _two_pulls(spark, sf)
+    root, cut = _two_pulls(spark, sf)
     q = start_cycle_stream(spark, f"{root}/pulls", f"{root}/state", f"{root}/chk",
                            feed_schemas=_ntz_schemas())
     q.awaitTermination()
-    store = StateStore(spark, f"{root}/state")
+    return root, cut, StateStore(spark, f"{root}/state")
+
+
+def _pull_sql(n: int, t: str) -> str:
+    """Staging rows of one pull: the first row of each key in feed order."""
+    side = "<" if n == 1 else ">="
+    order = ", ".join(FEED_ORDER[KIND_OF[t]][1:])
+    return f"""pull{n}_{t} AS (
+  SELECT {STG_COLS_SQL[t]} FROM (
+    SELECT *, row_number() OVER (PARTITION BY ngrn ORDER BY {order}) AS rn FROM stg_{t}
+    WHERE CAST(dfrom AS DATE) {side} CAST((SELECT ps FROM p) AS DATE)) f
+  WHERE rn = 1)"""
+
+
+KINDS_SQL = ("short", "okved", "address")
+CYCLE_SQL = SQL_BASE + "," + ",\n".join(
+    [_pull_sql(n, t) for n in (1, 2) for t in KINDS_SQL]
+    + [f"all_{t} AS (SELECT * FROM pull1_{t} UNION SELECT * FROM pull2_{t})" for t in KINDS_SQL]
+    + [f"mark_{t} AS (SELECT {SEED_SQL} AS m UNION SELECT max(dfrom) FROM pull1_{t} UNION SELECT max(dfrom) FROM all_{t})"
+       for t in KINDS_SQL]
+    + [f"prior_{t} AS (SELECT max(m) AS m FROM mark_{t} WHERE m < (SELECT max(m) FROM mark_{t}))" for t in KINDS_SQL]
+    + ["mart1 AS (SELECT row_number() OVER (ORDER BY org_name, ngrn) AS id, * FROM ("
+       + mart_sql(short="pull1_short", okved="pull1_okved", address="pull1_address", ps=SEED_SQL, po=SEED_SQL, pa=SEED_SQL) + ") a)",
+       "rows2 AS (" + mart_sql(short="all_short", okved="all_okved", address="all_address",
+                               **{f"p{t[0]}": f"(SELECT m FROM prior_{t})" for t in KINDS_SQL}) + ")",
+       """mart2 AS (
+  SELECT a.id, a.org_name, a.ngrn, a.org_type, """ + ", ".join(
+           f"CASE WHEN b.ngrn IS NULL THEN a.{c} ELSE b.{c} END AS {c}" for c in ("date", "status", "okved_code", "okved_text"))
+       + """, a.region, a.district, a.settlement, a.location, a.email, a.phone
+  FROM mart1 a LEFT JOIN rows2 b ON a.org_name = b.org_name AND a.ngrn = b.ngrn
+  UNION ALL
+  SELECT (SELECT coalesce(max(id), 0) FROM mart1) + row_number() OVER (ORDER BY org_name, ngrn), *
+  FROM rows2 b WHERE NOT EXISTS (SELECT 1 FROM mart1 a WHERE a.org_name = b.org_name AND a.ngrn = b.ngrn))"""])
+
+
+@query("cycle_stream", CYCLE_SQL + " SELECT " + PORTAL_OUT_SQL.replace("CAST(ngrn AS VARCHAR) AS ngrn", "ngrn") + " FROM mart2")
+def q_cycle_stream(spark, sf):
+    _, _, store = _streamed(spark, sf)
     return store.read("mart", store.latest()[0])
 
 
-@query("cycle_rerun")
+def _counted_sql(name: str, body: str) -> str:
+    return f"SELECT '{name}' AS table_name, count(*) AS rows_before, count(*) AS rows_after, CAST(0 AS BIGINT) AS changed FROM ({body}) t"
+
+
+RERUN_SQL = CYCLE_SQL + " " + " UNION ALL ".join(
+    [_counted_sql(f"stg_{t}", f"SELECT * FROM all_{t}") for t in KINDS_SQL]
+    + [_counted_sql(f"wm_{t}", f"SELECT DISTINCT m FROM mark_{t} WHERE m IS NOT NULL") for t in KINDS_SQL]
+    + [_counted_sql(f"dim_{d}", f"SELECT DISTINCT {', '.join(a for a, _ in cols)} FROM all_{src} WHERE "
+                    + " AND ".join(f"{a} IS NOT NULL" for a, _ in cols)) for d, (src, cols) in DIMENSIONS.items()]
+    + [_counted_sql("mart", "SELECT * FROM mart2")])
+
+
+@query("cycle_rerun", RERUN_SQL)
 def q_cycle_rerun(spark, sf):
+    """Per table its rows before and after the last pull is run again, and how many rows changed."""
     from dimloom.plans.cycle import run_cycle
-    from dimloom.sources.state import StateStore
-    from dimloom.streaming.cycle_stream import start_cycle_stream
 
-    root, cut = _two_pulls(spark, sf)
-    q = start_cycle_stream(spark, f"{root}/pulls", f"{root}/state", f"{root}/chk",
-                           feed_schemas=_ntz_schemas())
-    q.awaitTermination()
-    store = StateStore(spark, f"{root}/state")
+    root, cut, store = _streamed(spark, sf)
+    before = store.latest()[0]
     feeds = {k: read_feed(spark, k, f"{root}/feeds", cut, "2100-12-31", layout="lines",
                           schema=feed_schema_ntz(k)) for k in FEED_KINDS}
-    run_cycle(store, feeds)  # the same pull again: nothing may change
-    return store.read("mart", store.latest()[0])
+    after = run_cycle(store, feeds)
+    parts = [store.read(name, version).select(F.lit(name).alias("table_name"), F.xxhash64(*[f.name for f in schema.fields]).alias("h"),
+                                              F.lit(sign).alias("sign"))
+             for name, schema in store.schemas.items() for version, sign in ((before, -1), (after, 1))]
+    rows = _union_all(parts).groupBy("table_name", "h").agg(
+        F.count(F.when(F.col("sign") < 0, 1)).alias("b"), F.count(F.when(F.col("sign") > 0, 1)).alias("a"))
+    return rows.groupBy("table_name").agg(F.sum("b").alias("rows_before"), F.sum("a").alias("rows_after"),
+                                          F.sum(F.abs(F.col("a") - F.col("b"))).alias("changed"))

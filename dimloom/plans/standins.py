@@ -96,13 +96,13 @@ class Standins:
 
     # -- staging (shaped; no keep-first: staging is the whole history) -------
     def stg_short(self) -> DataFrame:
-        return shape_short(self.raw_short())
+        return shape_short(self.raw_short(), history=True)
 
     def stg_address(self) -> DataFrame:
-        return shape_address(self.raw_address())
+        return shape_address(self.raw_address(), history=True)
 
     def stg_okved(self) -> DataFrame:
-        return shape_okved(self.raw_okved())
+        return shape_okved(self.raw_okved(), history=True)
 
     def stg(self, table: str) -> DataFrame:
         return {"short": self.stg_short, "address": self.stg_address, "okved": self.stg_okved}[table]()
@@ -242,7 +242,3 @@ def mart_sql(**kw) -> str:
     FROM (SELECT *, row_number() OVER (PARTITION BY org_name, ngrn ORDER BY {MART_ORDER_SQL}) AS rn
           FROM ({joined_sql(**kw)}) j) r
     WHERE rn = 1"""
-
-
-MART_COLS_SQL = ("org_name, ngrn, org_type, date, status, okved_code, okved_text, region, "
-                 "district, settlement, location, email, phone")

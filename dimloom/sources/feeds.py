@@ -7,11 +7,17 @@ Layout: ``<root>/<kind>/load_date=YYYY-MM-DD/*.json``, one directory per day
 * ``"lines"`` – one object per line.
 
 Feed order matters (keep-first per key inside a pull), so the reader keeps
-it as ``(_file, _pos)``: every file is read whole (``wholetext``; one file
-is one task and files are bounded by the writer) and its elements are
-numbered with ``posexplode``. The schema is explicit, so an empty feed is
-simply zero rows; a missing feed directory fails the batch before anything
-is published. The day filter prunes directories.
+it as ``POSITION`` = (``_file``, ``_block``, ``_pos``). ``_file`` is the path with
+every number padded, so that ``c1000`` follows ``c999``. A ``lines`` file is read
+in splits: ``_block`` is the split's first byte and ``_pos`` grows inside it. An
+``array`` file is one JSON value and therefore one task's work (``wholetext``):
+land large responses as ``lines``.
+
+An absent feed is an error, an empty one (``[]``, or a ``lines`` file without a
+line) is 0 rows: the period must hold at least one file, and with
+``every_day`` each of its days must. A file that is not the expected JSON
+fails the read (``FAILFAST``); nothing is skipped. The day filter prunes
+directories.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from pyspark.sql import types as T
 from dimloom.constants import FEED_KINDS
 from dimloom.schemas import FEED_SCHEMAS
 
-POSITION = ["_file", "_pos"]
+POSITION = ["_file", "_block", "_pos"]
 
 
 def _day(v) -> str:
@@ -35,29 +41,58 @@ def _day(v) -> str:
     return str(v)
 
 
+def _in_period(df: DataFrame, start, end) -> DataFrame:
+    if start is not None:
+        df = df.filter(F.col("load_date") >= F.lit(_day(start)).cast("date"))
+    if end is not None:
+        df = df.filter(F.col("load_date") <= F.lit(_day(end)).cast("date"))
+    return df
+
+
+def _check_present(spark: SparkSession, path: str, start, end, every_day: bool) -> None:
+    """Raise if the period has no file (one of 0 bytes is none), or a wanted day is absent.
+
+    Lists the files without reading them; what comes back is one row per day.
+    """
+    files = _in_period(spark.read.format("binaryFile").load(path).select("load_date"), start, end)
+    days = {_day(r["load_date"]) for r in files.distinct().collect()}
+    if not days:
+        raise FileNotFoundError(f"no feed file under {path} for {start}..{end}")
+    if every_day:
+        first, last = (_dt.date.fromisoformat(_day(x)) for x in (start, end))
+        wanted = {str(first + _dt.timedelta(k)) for k in range((last - first).days + 1)}
+        if wanted - days:
+            raise FileNotFoundError(f"no feed file under {path} for {sorted(wanted - days)}")
+
+
+def _natural(path):
+    """Text that sorts by the numbers in ``path`` (each padded to 20 digits)."""
+    return F.regexp_replace(F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1"), r"\d*(\d{20})(?!\d)", "$1")
+
+
 def read_feed(spark: SparkSession, kind: str, root: str, start=None, end=None,
-              layout: str = "array", schema: T.StructType | None = None) -> DataFrame:
+              layout: str = "array", schema: T.StructType | None = None,
+              every_day: bool = False) -> DataFrame:
     """Rows of one feed kind for the inclusive day period ``[start, end]``."""
     if kind not in FEED_KINDS:
         raise ValueError(f"unknown feed kind {kind!r}; expected one of {FEED_KINDS}")
     if layout not in ("array", "lines"):
         raise ValueError(f"unknown feed layout {layout!r}")
     schema = schema or FEED_SCHEMAS[kind]
-    raw = spark.read.option("wholetext", True).text(f"{root.rstrip('/')}/{kind}")
-    if start is not None:
-        raw = raw.filter(F.col("load_date") >= F.lit(_day(start)).cast("date"))
-    if end is not None:
-        raw = raw.filter(F.col("load_date") <= F.lit(_day(end)).cast("date"))
-    raw = raw.select("load_date", F.col("_metadata.file_path").alias("_file"), "value")
+    path = f"{root.rstrip('/')}/{kind}"
+    _check_present(spark, path, start, end, every_day)
+    strict = {"mode": "FAILFAST"}
+    raw = _in_period(spark.read.option("wholetext", layout == "array").text(path), start, end)
+    file = _natural(F.col("_metadata.file_path")).alias("_file")
     if layout == "array":
-        rows = raw.select("load_date", "_file",
-                          F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("_pos", "r"))
+        rows = raw.select("load_date", file, F.lit(0).cast("long").alias("_block"),
+                          F.posexplode(F.from_json("value", T.ArrayType(schema), strict)).alias("_pos", "r"))
     else:
-        lines = raw.select("load_date", "_file",
-                           F.posexplode(F.split("value", "\n")).alias("_pos", "line"))
-        rows = (lines.filter(F.length(F.trim("line")) > 0)
-                     .select("load_date", "_file", "_pos", F.from_json("line", schema).alias("r")))
-    return rows.select("load_date", "_file", F.col("_pos").cast("long").alias("_pos"), "r.*")
+        rows = (raw.select("load_date", file, F.col("_metadata.file_block_start").alias("_block"),
+                           F.monotonically_increasing_id().alias("_pos"), "value")
+                   .filter(F.length(F.trim("value")) > 0)
+                   .select("load_date", "_file", "_block", "_pos", F.from_json("value", schema, strict).alias("r")))
+    return rows.select("load_date", "_file", "_block", F.col("_pos").cast("long").alias("_pos"), "r.*")
 
 
 def write_feed(df: DataFrame, root: str, kind: str, order: Sequence[str],
@@ -79,3 +114,9 @@ def write_feed(df: DataFrame, root: str, kind: str, order: Sequence[str],
         .option("maxRecordsPerFile", max_records)
         .partitionBy("load_date")
         .json(f"{root.rstrip('/')}/{kind}"))
+
+
+def write_empty_feed(spark: SparkSession, root: str, kind: str, day) -> None:
+    """Land an empty answer (a ``lines`` file without an object) for one day."""
+    spark.createDataFrame([("",)], "value string").coalesce(1).write.mode("append").text(
+        f"{root.rstrip('/')}/{kind}/load_date={_day(day)}")

@@ -3,10 +3,11 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from dimloom.constants import FEED_KINDS
-from dimloom.plans.cycle import current_tables, run_cycle
+from dimloom.plans.cycle import ConstraintViolation, current_tables, run_cycle
 from dimloom.sources.feeds import read_feed
 from dimloom.sources.state import StateStore
 from dimloom.streaming.cycle_stream import start_cycle_stream, write_pull
@@ -132,9 +133,83 @@ def test_stream_equals_batch(spark, workdir, pulls):
     assert s_store.latest() == (2, 1)
 
 
-def test_missing_feed_fails_before_publish(spark, workdir, pulls):
+def changed(pull, kind, k, **values):
+    """A copy of a pull with one row's values changed."""
+    return {name: [({**r, **values} if (name, i) == (kind, k) else r) for i, r in enumerate(rows)] for name, rows in pull.items()}
+
+
+@pytest.mark.parametrize("pull,error", [
+    (changed(PULL1, "short_info", 2, ngrn=None), "null ngrn"),
+    (changed(PULL1, "contact_info", 0, vregion="x" * 60), "too long: vregion"),
+    (changed(PULL1, "okved_info", 0, nsi00114={"vkvdn": "9" * 40, "vnvdnp": "t"}), "too long: okved_code"),
+])
+def test_violations_are_not_published(spark, workdir, pull, error):
+    store = StateStore(spark, os.path.join(workdir, "state"))
+    root = land(os.path.join(workdir, "p"), pull, "2023-01-02")
+    with pytest.raises(ConstraintViolation, match=error):
+        run_cycle(store, feeds_of(spark, root))
+    assert store.latest()[0] == 0
+    t = current_tables(store)
+    assert all(t[n].count() == (n.startswith("wm_")) for n in t)
+
+
+def test_bad_or_absent_feeds_leave_the_version(spark, workdir, pulls):
+    store = StateStore(spark, os.path.join(workdir, "state"))
+    p1, p2 = pulls
+    run_cycle(store, feeds_of(spark, p1))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        feeds_of(spark, os.path.join(workdir, "nowhere"))
+    with open(os.path.join(p2, "contact_info", "load_date=2023-01-05", "feed.json"), "w") as f:
+        f.write("<html>busy</html>")
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED|Malformed"):
+        run_cycle(store, feeds_of(spark, p2))
+    assert store.latest()[0] == 1 and marks(current_tables(store), "short") == ["1991-01-01", "2023-01-02"]
+
+
+def test_orphans_of_late_rows_are_refused(spark, workdir):
+    """An old short row that its fresh address brings into the mart has its keys in no dimension."""
+    old = "2022-06-01T00:00:00+03:00"
+    store = StateStore(spark, os.path.join(workdir, "state"))
+    run_cycle(store, feeds_of(spark, land(os.path.join(workdir, "p1"), PULL1, "2023-01-02")))
+    run_cycle(store, feeds_of(spark, land(os.path.join(workdir, "p2"), PULL2, "2023-01-05")))
+    late = {"short_info": [{"ngrn": 900, "dfrom": old, "vnaim": "Старая", "nsi00219": {"vnsostk": "Иной"}}],
+            "contact_info": [{**PULL2["contact_info"][0], "ngrn": 900, "dfrom": "2023-02-01T00:00:00+03:00"}], "okved_info": []}
+    with pytest.raises(ConstraintViolation, match="is not in dim_"):
+        run_cycle(store, feeds_of(spark, land(os.path.join(workdir, "p3"), late, "2023-02-01")))
+    assert store.latest()[0] == 2
+
+
+def test_new_checkpoint_loses_no_pull_and_repeats_none(spark, workdir, pulls):
+    p1, p2 = pulls
+    d = {n: os.path.join(workdir, n) for n in ("pulls", "state", "chk1", "chk2")}
+    write_pull(spark, d["pulls"], 1, p1, "1991-01-01", "2023-01-02")
+    start_cycle_stream(spark, d["pulls"], d["state"], d["chk1"]).awaitTermination()
+    store = StateStore(spark, d["state"])
+    assert store.latest()[0] == 1
+    write_pull(spark, d["pulls"], 2, p2, "2023-01-02", "2023-01-05")
+    start_cycle_stream(spark, d["pulls"], d["state"], d["chk2"]).awaitTermination()
+    assert store.latest()[0] == 2
+    assert 103 in {r["ngrn"] for r in current_tables(store)["mart"].collect()}
+
+
+def test_crash_retry_double_publish_lost_folder_and_reset(spark, workdir, pulls, monkeypatch):
     store = StateStore(spark, os.path.join(workdir, "state"))
-    with pytest.raises(Exception):
-        run_cycle(store, {k: read_feed(spark, k, os.path.join(workdir, "nowhere"))
-                          for k in FEED_KINDS})
-    assert store.latest()[0] <= 0
+    p1, p2 = pulls
+    monkeypatch.setattr(store, "publish", lambda *a, **k: (_ for _ in ()).throw(OSError("crash")) if a[0] == 1 else StateStore.publish(store, *a, **k))
+    with pytest.raises(OSError, match="crash"):
+        run_cycle(store, feeds_of(spark, p1))
+    assert store.latest()[0] == 0 and current_tables(store)["mart"].count() == 0
+    monkeypatch.undo()
+    assert run_cycle(store, feeds_of(spark, p1)) == 1
+    rows = mart_rows(current_tables(store))
+    assert len(rows) == 3
+    with pytest.raises(AnalysisException, match="ALREADY_EXISTS"):
+        store.publish(1)
+    assert store.reset() == 2
+    t = current_tables(store)
+    assert all(t[n].count() == (n.startswith("wm_")) for n in t)
+    assert run_cycle(store, feeds_of(spark, p1)) == 3
+    assert mart_rows(current_tables(store)) == rows
+    os.rename(os.path.join(workdir, "state", "mart"), os.path.join(workdir, "state", "lost"))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        run_cycle(store, feeds_of(spark, p2))

@@ -15,7 +15,9 @@ from dimloom.operators import checks, dedup, portal
 from dimloom.operators import watermark as wmk
 from dimloom.operators.ids import with_dense_ids
 from dimloom.operators.upsert import insert_ignore, upsert
-from dimloom.sources.feeds import read_feed
+from dimloom.plans.shape import shape_short
+from dimloom.session import check_shared
+from dimloom.sources.feeds import POSITION, read_feed
 
 
 def ts(s):
@@ -172,3 +174,66 @@ def test_feed_reader(spark, workdir):
     assert got[0]["dfrom"] == ts("2023-01-01 21:00:00")            # +03:00 offset parsed
     with pytest.raises(ValueError):
         read_feed(spark, "bogus", workdir)
+
+
+def _feed_file(root, day, name, text):
+    d = os.path.join(root, "short_info", f"load_date={day}")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, name), "w") as f:
+        f.write(text)
+
+
+@pytest.mark.parametrize("text", ['[{"ngrn": 1, "dfrom": "2023-01-02T00:00:00+03:00"}, {"ngrn": 2, ', "<html>error</html>"])
+@pytest.mark.parametrize("layout", ["array", "lines"])
+def test_malformed_feed_fails(spark, workdir, text, layout):
+    _feed_file(workdir, "2023-01-02", "f.json", text)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        read_feed(spark, "short_info", workdir, layout=layout).collect()
+
+
+def test_absent_feed_fails(spark, workdir):
+    _feed_file(workdir, "2023-01-02", "f.json", "[]")
+    assert read_feed(spark, "short_info", workdir, "2023-01-01", "2023-01-03").count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_feed(spark, "short_info", workdir, "2023-01-03", "2023-01-03")
+    with pytest.raises(FileNotFoundError, match="2023-01-03"):
+        read_feed(spark, "short_info", workdir, "2023-01-02", "2023-01-03", every_day=True)
+    _feed_file(workdir, "2023-01-04", "f.json", "")
+    with pytest.raises(FileNotFoundError):
+        read_feed(spark, "short_info", workdir, "2023-01-04", "2023-01-04")
+
+
+def test_feed_order_holds_past_a_thousand_files_and_over_splits(spark, workdir):
+    for k in range(998, 1003):
+        _feed_file(workdir, "2023-01-02", f"part-00000-c{k:03d}.json", "".join(
+            json.dumps({"ngrn": 7, "dfrom": "2023-01-02T00:00:00+03:00", "vnaim": f"{k}-{i}"}) + "\n" for i in range(2000)))
+    _feed_file(workdir, "2023-01-02", "part-00000-c997.json", "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        feed = read_feed(spark, "short_info", workdir, layout="lines")
+        assert feed.select("_block").distinct().count() > 5
+        rows = [r["vnaim"] for r in feed.orderBy(*POSITION).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == [f"{k}-{i}" for k in range(998, 1003) for i in range(2000)]
+    with pytest.raises(ValueError, match="position"):
+        shape_short(feed.drop("_block"))
+    assert [r["org_name"] for r in shape_short(feed).collect()] == ["998-0"]
+
+
+def test_fk_counts_and_pushed_null_check(spark, workdir):
+    child = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "a"), (3, "c")], "k long, c string")
+    one, two = spark.createDataFrame([(1,), (1,)], "k long"), spark.createDataFrame([("a",), ("b",)], "c string")
+    got = checks.fk_orphan_counts([("k", child, one, ["k"], ["k"]), ("c", child, two, ["c"], ["c"])])
+    assert {tuple(r) for r in got.collect()} == {("k", 2), ("c", 1)}
+    child.write.parquet(os.path.join(workdir, "c"))
+    plan = checks.check_not_null(spark.read.parquet(os.path.join(workdir, "c")), ["c"], ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "IsNull(c)" in plan[plan.index("PushedFilters"):]
+
+
+def test_non_local_master_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        check_shared("spark://host:7077", None)
+    check_shared("spark://host:7077", "hdfs:///shared")
+    check_shared("local[4]", None)
