@@ -42,7 +42,7 @@ U = np.uint64
 WINDOW = 13
 PART_WORDS = 5
 #: Edges that a map task settles at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Routing parts for each shuffle partition; a task works on one part at a time.
 PARTS = 8
 TRIES = 4
@@ -214,21 +214,26 @@ def digests(words: list[bytes], spans: list[tuple[int, int]]) -> list[bytes]:
 def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Removes the covered words of each text and digests its spans, as occurrence and as source."""
     for batch in batches:
-        out: dict[str, list] = {name: [] for name in JUDGED.names}
-        for i, p, text, own, given in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "print", "text", "own", "given"))):
-            words = (text or "").encode().split()
-            keep = np.ones(len(words), bool)
-            for s in own or []:
-                keep[s["pos"]:s["pos"] + s["n"] + WINDOW - 1] = False
-            left = words if keep.all() else [words[k] for k in np.flatnonzero(keep).tolist()]
-            seen = digests(words, [(s["pos"], s["n"]) for s in own or []])
-            made = digests(words, [(s["src_pos"], s["n"]) for s in given or []])
-            row = (i, len(words), len(words) - len(left), hashlib.sha256(b" ".join(left)).hexdigest(), p,
-                   [{**{k: s[k] for k in ("src_id", "src_print", "src_pos", "n")}, "digest": d} for s, d in zip(own or [], seen)],
-                   [{"src_pos": s["src_pos"], "n": s["n"], "digest": d} for s, d in zip(given or [], made)])
-            for column, value in zip(out.values(), row):
-                column.append(value)
-        yield pa.RecordBatch.from_pydict(out, JUDGED)
+        for part in slices(batch, "text"):
+            yield judged_rows(part)
+
+
+def judged_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    out: dict[str, list] = {name: [] for name in JUDGED.names}
+    for i, p, text, own, given in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "print", "text", "own", "given"))):
+        words = (text or "").encode().split()
+        keep = np.ones(len(words), bool)
+        for s in own or []:
+            keep[s["pos"]:s["pos"] + s["n"] + WINDOW - 1] = False
+        left = words if keep.all() else [words[k] for k in np.flatnonzero(keep).tolist()]
+        seen = digests(words, [(s["pos"], s["n"]) for s in own or []])
+        made = digests(words, [(s["src_pos"], s["n"]) for s in given or []])
+        row = (i, len(words), len(words) - len(left), hashlib.sha256(b" ".join(left)).hexdigest(), p,
+               [{**{k: s[k] for k in ("src_id", "src_print", "src_pos", "n")}, "digest": d} for s, d in zip(own or [], seen)],
+               [{"src_pos": s["src_pos"], "n": s["n"], "digest": d} for s, d in zip(given or [], made)])
+        for column, value in zip(out.values(), row):
+            column.append(value)
+    return pa.RecordBatch.from_pydict(out, JUDGED)
 
 
 JUDGED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("print", pa.int64()),

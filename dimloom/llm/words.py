@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
@@ -40,6 +40,18 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def kept_powers(base: int, n: int) -> np.ndarray:
+    """``powers``, kept for the next call while they are no longer than a usual slice needs."""
+    if n > 2 * SLICE_BYTES:
+        return powers(base, n)
+    if base not in _POWERS:
+        _POWERS[base] = powers(base, 2 * SLICE_BYTES)
+    return _POWERS[base][:n]
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -90,10 +102,10 @@ class Words:
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of byte spans."""
-        values = (_LOWER if self._lower else _BYTES)[self.data] * powers(_BASE, len(self.data))
+        values = (_LOWER if self._lower else _BYTES)[self.data] * kept_powers(_BASE, len(self.data))
         total = np.zeros(len(values) + 1, U)
         np.add.accumulate(values, out=total[1:])
-        back = powers(_INVERSE, len(self.data) + 1)
+        back = kept_powers(_INVERSE, len(self.data) + 1)
         return mix((total[end] - total[start]) * back[start] + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
 
     @property
