@@ -7,7 +7,8 @@ are expressed with joins; the caller writes the result as a new version.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,22 +21,57 @@ def _base_id(target: DataFrame, id_col: str):
     return F.coalesce(target.agg(F.max(id_col)).scalar(), F.lit(0)).cast("long")
 
 
+def missing_members(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct non-null source keys absent from the target.
+
+    The anti-join is planned by AQE (broadcast of the target when its measured
+    size allows, sort-merge otherwise).
+    """
+    keys = list(keys)
+    cand = source.select(*keys).where(
+        F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))).distinct()
+    return cand.join(target.select(*keys), keys, "left_anti")
+
+
 def new_members(target: DataFrame, source: DataFrame, keys: Sequence[str],
                 id_col: str = "id") -> DataFrame:
-    """Distinct non-null source keys absent from the target, with new dense ids.
+    """``missing_members`` with new dense ids.
 
     Ids continue after ``max(target.id)`` in key order; existing ids are
-    never touched. The anti-join is planned by AQE (broadcast of the target
-    when its measured size allows, sort-merge otherwise).
+    never touched.
     """
     keys = list(keys)
-    cand = source.select(*keys).where(
-        F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))).distinct()
-    fresh = cand.join(target.select(*keys), keys, "left_anti")
-    out = with_dense_ids(fresh, keys, id_col, base=_base_id(target, id_col))
+    out = with_dense_ids(missing_members(target, source, keys), keys, id_col, base=_base_id(target, id_col))
     return out.select(id_col, *keys)
 
 
+#: Typed slots that hold any table's key: one numbering pass serves keys of different tables.
+_SLOTS = {"bigint": ["n1"], "timestamp": ["t1"], "string": ["s1", "s2", "s3"]}
+
+
+def new_members_of_all(tables: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]],
+                       id_col: str = "id") -> dict[str, DataFrame]:
+    """``new_members`` of several tables (name -> target, source, keys) in one numbering pass.
+
+    All new keys are ordered by table, then key, and numbered together; each
+    table's ids then start after its own maximum.
+    """
+    slots = [(s, t) for t, names in _SLOTS.items() for s in names]
+    parts, places = [], {}
+    for name, (target, source, keys) in tables.items():
+        free = {t: list(names) for t, names in _SLOTS.items()}
+        places[name] = [(k, free[target.schema[k].dataType.simpleString()].pop(0)) for k in keys]
+        at = {slot: F.col(k) for k, slot in places[name]}
+        parts.append(missing_members(target, source, keys).select(
+            F.lit(name).alias("table"), *[at.get(s, F.lit(None)).cast(t).alias(s) for s, t in slots]))
+    numbered = with_dense_ids(reduce(DataFrame.unionByName, parts), ["table", *[s for s, _ in slots]], "place")
+    first = numbered.groupBy("table").agg(F.min("place").alias("first"))
+    numbered = numbered.join(F.broadcast(first), "table")  # one row per table
+    return {name: numbered.where(F.col("table") == name).select(
+        (F.col("place") - F.col("first") + 1 + _base_id(target, id_col)).alias(id_col),
+        *[F.col(slot).alias(k) for k, slot in places[name]]) for name, (target, _, _) in tables.items()}
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   id_col: str = "id") -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING`` for an insert-only dimension."""

@@ -33,7 +33,7 @@ from dimloom.operators import watermark as wmk
 from dimloom.operators.checks import check_fk, check_length, check_not_null, check_unique
 from dimloom.operators.dedup import distinct_rows
 from dimloom.operators.ids import materialize
-from dimloom.operators.upsert import new_members, upsert
+from dimloom.operators.upsert import new_members_of_all, upsert
 from dimloom.plans.mart import build_mart
 from dimloom.plans.shape import SHAPERS
 from dimloom.schemas import (DIMENSIONS, KIND_TO_STG, MART_FOREIGN_KEYS, MART_SCHEMA, STG_COLUMNS,
@@ -134,10 +134,12 @@ def run_cycle(store: StateStore, feeds: Mapping[str, DataFrame], batch_id: int |
     priors = {t: wmk.prior_literal(store.read(f"wm_{t}", cyc)) for t in STG_SCHEMAS}
 
     # 4. dimensions (insert-only)
-    for name, (src, cols) in DIMENSIONS.items():
-        fresh = wmk.fresh(stg[src], priors[src]).select(*[F.col(s).alias(d) for s, d in cols])
-        keys = [d for _, d in cols]
-        store.write(f"dim_{name}", new_members(store.read(f"dim_{name}", prev), fresh, keys), cyc)
+    fresh = {t: wmk.fresh(stg[t], priors[t]) for t in STG_SCHEMAS}
+    members = new_members_of_all({
+        name: (store.read(f"dim_{name}", prev), fresh[src].select(*[F.col(s).alias(d) for s, d in cols]), [d for _, d in cols])
+        for name, (src, cols) in DIMENSIONS.items()})
+    for name, rows in members.items():
+        store.write(f"dim_{name}", rows, cyc)
 
     # 5. mart
     rows = materialize(build_mart(stg["short"], stg["okved"], stg["address"],
