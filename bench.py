@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["mart_build", "mart_build_pruned", "mart_upsert", "keep_first", "dim_insert_new",
             "portal_filter", "distinct_on", "stg_distinct", "surrogate_ids", "check_unique",
-            "mart_latest"]
+            "mart_latest", "feed_okved"]
 
 
 def main() -> None:
