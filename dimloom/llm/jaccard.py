@@ -42,8 +42,9 @@ from dimloom.operators.ids import materialize
 
 U = np.uint64
 ORDERS = 3
-#: Counters of the frequency sketch (4 bytes each), and the most tasks that fill one.
-SKETCH = 1 << 20
+#: Counters of the frequency sketch (4 bytes each in a task, 1 when broadcast), and the most tasks that fill one.
+#: It tells rare words apart while it has about as many counters as the corpus has words; more only costs memory.
+SKETCH = 1 << 22
 SKETCH_TASKS = 1024
 PART = 1 << 14
 #: Rows and shingles of one block of a star.
@@ -95,17 +96,18 @@ def signatures(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 def frequency_sketch(docs: DataFrame, text: str, lower: bool) -> np.ndarray:
     """Logarithms (in eighths) of counters by the low bits of each word's hash, over all texts: ``SKETCH`` bytes, whatever the input."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int64)
+        total = np.zeros(SKETCH, np.uint32)
         for batch in batches:
             for part in slices(batch, text):
-                total += np.bincount((Words(part.column(text), lower).hash & U(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                place, n = np.unique(Words(part.column(text), lower).hash & U(SKETCH - 1), return_counts=True)
+                total[place.astype(np.int64)] += n.astype(np.uint32)
         yield pa.RecordBatch.from_pydict({"part": list(range(SKETCH // PART)), "counts": [total[k:k + PART].tobytes() for k in range(0, SKETCH, PART)]}, pa.schema([("part", pa.int32()), ("counts", pa.binary())]))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, counts in zip(batch["part"].to_pylist(), batch["counts"].to_pylist()):
-                total[k] = total.get(k, 0) + np.frombuffer(counts, np.int64)
+                total[k] = total.get(k, 0) + np.frombuffer(counts, np.uint32).astype(np.int64)
         yield pa.RecordBatch.from_pydict({"part": list(total), "levels": [np.minimum(8 * np.log2(x + 1.0), 255).astype(np.uint8).tobytes() for x in total.values()]}, pa.schema([("part", pa.int32()), ("levels", pa.binary())]))
 
     parts = docs.select(f"`{text}`").coalesce(SKETCH_TASKS).mapInArrow(count, "part int, counts binary")
