@@ -269,7 +269,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, lower:
     parts = connected_components(edges)
     named = parts.join(classes, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     grouped = parts.join(named, "component").select("node", "component_id")
-    every = classes.join(grouped, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
+    # written first, so that Spark may split the join on a class of very many copies
+    every = materialize(classes.join(grouped, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id")), "jaccard-classes")
     return (signed.select("doc_id", "print", "n_shingles", "node").join(every, "node", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "print"))
 
