@@ -53,6 +53,9 @@ PATTERNS = {
     "name": r"(?<!\p{L})(?:" + "|".join([*FEMALE, *MALE]) + r")\.? \p{Lu}[\p{L}'’-]*+(?: \p{Lu}[\p{L}'’-]*+)?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Every match of the pattern holds one of these characters or texts; they are looked for first, being cheap to find.
+HINT_CHARACTERS = "[0-9@]"
+HINT_TEXTS = ['"', "AKIA", *[f"{t}{end}" for t in [*FEMALE, *MALE] for end in (" ", ". ")]]
 LATIN = "bcdfglmnprstv aeiou"
 CYRILLIC = "бвгдклмнпрст аеиоу"
 
@@ -170,7 +173,8 @@ def replace_entities(docs: DataFrame, key: str, doc_id: str = "doc_id", text: st
     """``docs`` with every entity of ``text`` replaced, and ``n_entities``."""
     own = Own(docs)
     found = own.df.withColumns({"id": own[doc_id], "body": own[text]})
-    hit = F.coalesce(F.col("body").rlike(PATTERN), F.lit(False))
+    hint = reduce(lambda a, b: a | b, [F.col("body").rlike(HINT_CHARACTERS), *[F.col("body").contains(t) for t in HINT_TEXTS]])
+    hit = F.coalesce(F.when(hint, F.col("body").rlike(PATTERN)), F.lit(False))
     held = found.where(hit).withColumn("print", F.xxhash64("body"))
     held = computed(held, "matches", F.regexp_extract_all("body", F.lit(PATTERN), F.lit(0)))
 
