@@ -57,10 +57,11 @@ def spread(threshold: float) -> float:
 
 def least_collisions(lines: int, threshold: float) -> int:
     """The largest count that a pair at the threshold reaches with a chance of 0.999 or more."""
-    p = math.erf(WINDOW / spread(threshold) / math.sqrt(2))
+    p = min(math.erf(WINDOW / spread(threshold) / math.sqrt(2)), 1 - 1e-12)
     tail = 0.0
-    for count in range(lines, 0, -1):
-        tail += math.comb(lines, count) * p**count * (1 - p) ** (lines - count)
+    for count in range(lines, 0, -1):  # by logarithms: the coefficients of many lines are beyond a double
+        ways = math.lgamma(lines + 1) - math.lgamma(count + 1) - math.lgamma(lines - count + 1)
+        tail += math.exp(ways + count * math.log(p) + (lines - count) * math.log1p(-p))
         if tail >= 0.999:
             return count
     return 1
@@ -138,7 +139,7 @@ def compare(threshold: float, lines: int):
         block, i, j = table["block"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
         cell = np.array(table["cells"].to_pylist(), np.int64)
         a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        hits = np.zeros((len(a), len(b)), np.uint8)
+        hits = np.zeros((len(a), len(b)), np.min_scalar_type(lines))  # holds a count of all lines
         for k in range(lines):  # query-centred windows on each line
             hits += np.abs(place[a, k][:, None] - place[b, k][None, :]) <= WINDOW
         able = (hits >= least) & (label[a][:, None] == label[b][None, :])

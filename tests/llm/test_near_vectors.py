@@ -54,3 +54,17 @@ def test_odd_rows(spark):
 def test_least_collisions_and_tables():
     assert near_vectors.least_collisions(24, 0.98) >= 20
     assert near_vectors.tables_for(2, 0.98) < near_vectors.tables_for(4, 0.98)
+
+
+def test_more_lines_than_a_byte_counts(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "LINES", 350)  # as 1.05e9 vectors have at 0.98
+    rows = clusters(40)
+    got = {r.vec_id: r.n_links for r in near_vectors.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    links = np.bincount(np.array(plain(rows)).ravel(), minlength=len(rows))
+    assert near_vectors.least_collisions(350, 0.98) > 255
+    assert all(got[k] <= links[k] for k in range(len(rows))) and sum(got.values()) >= 0.9 * links.sum() > 0
+
+
+def test_least_collisions_of_thousands_of_lines():
+    assert 0.6 * 4_000 < near_vectors.least_collisions(4_000, 0.9) < 0.75 * 4_000
+    assert near_vectors.least_collisions(24, 1.0) == 24
