@@ -62,3 +62,29 @@ def test_collisions_are_drawn_again_and_empty_table(spark):
     out = [r.text for r in surrogates.replace_entities(frame(spark, ips), "k").collect()]
     assert len(set(out)) == 600 and not set(out) & {r[1] for r in ips}
     assert surrogates.replace_entities(frame(spark, []), "k").count() == 0
+
+
+WIDER = {1: 'TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"!! token = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"', 2: "Password: 'xK9#mmQ2pp' then api-key=Zr81kQ77tt, {\"secret\": \"Plum-Tree-77\"} and access_token: `abcdefgh12`.",
+         3: "call +1 (826) 555-4081 190.137.223.204 du", 4: "or +1 (826) 555-4081 today, +49 30 123456 10.20.30.40 and +33 1 23 45 67 89.", 5: "only 190.137.223.204",
+         6: "MR. JOHN SMITH left. Smith's son saw John and SMITH, not Smithson or smith.", 7: "Prof. Dr. Anna Smith met Mrs Anna Brown; Anna thanked Brown.", 8: "Smith and Anna are nobody here", 9: "Dr Weber wrote to mrs Klein",
+         10: "password: bob@x.org and token: 10.20.30.40 stay of their kinds", 11: "I miss London in spring", 12: "secret=onlyletters"}
+
+
+def test_wider_secrets_phones_and_names(spark):
+    out = surrogates.replace_entities(frame(spark, [(i, t, "", "", 0) for i, t in WIDER.items()]), "k").collect()
+    text, n = {r.doc_id: r.text for r in out}, {r.doc_id: r.n_entities for r in out}
+    a, b = re.fullmatch(r'TOKEN = "([0-9A-F]{40})"!! token = "([0-9a-f]{40})"', text[1]).groups()
+    assert a == b.upper() != WIDER[1][9:49]
+    m = re.fullmatch(r"Password: '([a-z][A-Z]\d#[a-z]{2}[A-Z]\d[a-z]{2})' then api-key=([A-Z][a-z]\d\d[a-z][A-Z]\d\d[a-z]{2}), {\"secret\": \"([A-Z][a-z]{3}-[A-Z][a-z]{3}-\d\d)\"} and access_token: `([a-z]{8}\d\d)`\.", text[2])
+    assert m and not any(x in WIDER[2] for x in m.groups()) and n[2] == 4
+    phone, ip = re.fullmatch(r"call (\+1 \(\d{3}\) \d{3}-\d{4}) ([\d.]+) du", text[3]).groups()
+    assert text[4].startswith(f"or {phone} today, ") and text[5] == f"only {ip}" and "555-4081" not in text[3] and ip != "190.137.223.204" and n[3] == 2
+    assert re.fullmatch(r"or .* today, \+4\d \d\d \d{6} [\d.]+ and \+3\d( \d\d?){5}\.", text[4]) and n[4] == 4 and "10.20.30.40" not in text[4]
+    john, smith = re.fullmatch(r"MR\. ([A-Z]+N) ([A-Z]+SON) left\. .*", text[6]).groups()
+    assert text[6] == f"MR. {john} {smith} left. {smith.title()}'s son saw {john.title()} and {smith}, not Smithson or smith." and n[6] == 4
+    anna, brown = re.search(r"Mrs (\w+na) (\w+son);", text[7]).groups()
+    assert text[7] == f"Prof. Dr. {anna} {smith.title()} met Mrs {anna} {brown}; {anna} thanked {brown}."
+    assert text[8] == WIDER[8] and n[8] == 0 and text[11] == WIDER[11]
+    assert re.fullmatch(r"Dr [A-Z]\w+son wrote to mrs [A-Z]\w+son", text[9]) and not {"Weber", "Klein"} & set(text[9].split())
+    assert re.fullmatch(r"password: [a-z]{3}@[a-z]\.org and token: \d\d\.\d\d\.\d\d\.\d\d stay of their kinds", text[10]) and text[10].split()[4] in text[4]
+    assert re.fullmatch(r"secret=[a-z]{11}", text[12]) and text[12] != WIDER[12]
