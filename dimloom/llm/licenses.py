@@ -6,8 +6,9 @@ sparse penalty names a licence family or none. It is fitted on notices made
 from ``NOTICES`` and ``NAMES`` and on a bounded sample of the corpus's own
 paragraphs as the unknown class (``UNKNOWN_ROWS``, chosen by hash, without
 those that name a licence). The chance of a known family at which a
-paragraph counts as one is calibrated on the held-out half of that sample:
-at most ``FALSE_SHARE`` of it may pass, and it is ``LEAST`` at least. A
+paragraph counts as one is calibrated on all paragraphs of the corpus that
+name no licence, by one aggregate: at most ``FALSE_SHARE`` of them may pass,
+and it is ``LEAST`` at least. A
 prediction is confirmed if the paragraph shares enough words with a template
 of its family.
 
@@ -127,9 +128,10 @@ def known_chance(chances: str) -> Column:
 
 
 def train(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Classifier:
-    """Fit on the made notices and at most ``UNKNOWN_ROWS`` paragraphs, and calibrate the unknown class."""
+    """Fit on the made notices and at most ``UNKNOWN_ROWS`` paragraphs, and calibrate the unknown class on all of them."""
     order = F.xxhash64("notice", F.lit(11))
-    sample = materialize(paragraphs(docs, doc_id, text).where(~F.col("notice").rlike(NAMING)).select("notice", order.alias("order")).distinct()
+    unnamed = paragraphs(docs, doc_id, text).where(~F.col("notice").rlike(NAMING))
+    sample = materialize(unnamed.select("notice", order.alias("order")).distinct()
                          .orderBy("order", "notice").limit(UNKNOWN_ROWS), "licence-sample")
     classes = [UNKNOWN, *families()]
     label = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("family")) - 1
@@ -138,8 +140,7 @@ def train(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     rows = with_grams(rows, "notice").withColumn("label", label.cast("double"))
     model = LogisticRegression(family="multinomial", maxIter=30, regParam=2e-3, elasticNetParam=0.3).fit(hashing().transform(rows).select("label", "features"))
     known = Classifier(model, classes, LEAST)
-    held = known.score(with_grams(sample.where(half == 1), "notice"))
-    cut = held.agg(F.percentile_approx(known_chance("chances"), 1 - FALSE_SHARE, 10_000)).first()[0]
+    cut = known.score(with_grams(unnamed.select("notice"), "notice")).agg(F.percentile_approx(known_chance("chances"), 1 - FALSE_SHARE, 10_000)).first()[0]
     known.least = max(LEAST, cut or 0.0)
     return known
 

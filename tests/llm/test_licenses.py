@@ -36,3 +36,14 @@ def test_paragraphs_and_odd_rows(scanned, spark):
     counts = {r.doc_id: (r.n_paragraphs, r.n_notices) for r in out}
     assert counts[10**6 + 3] == counts[10**6 + 4] == counts[10**6 + 5] == (0, 0)
     assert licenses.license_scan(df.limit(0), classifier).count() == 0
+
+
+def test_calibration_sees_all_paragraphs(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "UNKNOWN_ROWS", 100)
+    like = "Distributed under the terms of the GNU General Public, version 3 or version 2, number {}"  # near a notice, but names no licence
+    rows = [(k, f"the of and to in number {k}\nanother line of prose number {k}", "", "", 0) for k in range(1000)] + [(10**4 + k, like.format(k), "", "", 0) for k in range(10)]
+    df = frame(spark, rows)
+    classifier = licenses.train(spark, df)
+    scored = classifier.score(licenses.with_grams(licenses.paragraphs(df, "doc_id", "text"), "notice"))
+    assert scored.where(licenses.known_chance("chances") > licenses.LEAST).count() >= 10
+    assert scored.where(licenses.known_chance("chances") > classifier.least).count() <= licenses.FALSE_SHARE * 2010 + 1
