@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimloom.llm import chat, jaccard, licenses, lines, mixing, near_vectors, packing, quality, repeats, surrogates
+from dimloom.llm import (chat, jaccard, licenses, lines, merkle, mixing, near_vectors, orchard, packing, quality, repeats,
+                         surrogates)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +66,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -76,9 +85,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op3_chat_formatting": chat.ORACLE,
     "op9_line_dedup": lines.ORACLE,
+    "op11_centroid_clustering": orchard.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }
