@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimloom.llm import (chat, jaccard, licenses, lines, merkle, mixing, near_vectors, orchard, packing, quality, repeats,
+from dimloom.llm import (chat, jaccard, licenses, lines, main_text, merkle, mixing, near_vectors, orchard, packing, quality, repeats,
                          surrogates)
 
 
@@ -70,6 +70,10 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orchard.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(table(spark, sf_dir, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_html_extraction": op12_html_extraction,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
