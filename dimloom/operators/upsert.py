@@ -78,8 +78,17 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return target.select(id_col, *keys).unionByName(new_members(target, source, keys, id_col))
 
 
+def changing(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
+    """The source rows that an upsert would not find in the target as they are (NULL-safe)."""
+    cols = [*keys, *update_cols]
+    s, t = source.alias("s"), target.select(*cols).alias("t")
+    same = [F.col(f"s.{c}") == F.col(f"t.{c}") for c in keys] + [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in update_cols]
+    return s.join(t, same, "left_anti")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           update_cols: Sequence[str], id_col: str = "id", written: bool = False) -> DataFrame:
+           update_cols: Sequence[str], id_col: str = "id", written: bool = False,
+           base: int | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols = EXCLUDED.*``.
 
     * key only in target: row unchanged;
@@ -88,8 +97,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     * key only in source: inserted with a new dense id.
 
     The source must hold one row per key; it is written to the shared folder
-    first unless ``written`` says that it is read from a table. The matched side is chosen by a
-    match flag, not ``coalesce``, so a NULL source value still overwrites.
+    first unless ``written`` says that it is read from a table. New ids start after
+    ``base``, or after the target's largest (give it where ``target`` is only a
+    part of the table). The matched side is chosen by a match flag, not ``coalesce``, so a NULL source value still overwrites.
     Shape at scale: the target is left-joined to the (usually small) delta,
     which AQE broadcasts when its measured size allows, so the large target
     keeps its partitioning; only the target's key columns are shuffled for
@@ -109,5 +119,5 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            if c in update_cols else F.col(c)) for c in cols])
     matched = target.select(*keys).join(source.select(*keys), keys, "left_semi")
     new_rows = source.join(matched, keys, "left_anti")
-    inserted = with_dense_ids(new_rows, keys, id_col, base=_base_id(target, id_col))
+    inserted = with_dense_ids(new_rows, keys, id_col, base=_base_id(target, id_col) if base is None else base)
     return kept.unionByName(inserted.select(id_col, *cols))

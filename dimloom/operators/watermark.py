@@ -12,6 +12,8 @@ runtime filter. Nothing is collected to the driver.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +62,20 @@ def added_mark(wm: DataFrame, stg: DataFrame, col: str = "dfrom") -> DataFrame:
     return next_mark(stg, col).filter(F.col(COL).isNotNull()).join(wm, COL, "left_anti")
 
 
+def step(marks: Sequence[int], largest: int | None, seen: int | None) -> tuple[list[int], int | None, int | None]:
+    """``advance`` without a look at the history: two numbers carried from cycle to cycle.
+
+    ``marks`` are the two largest marks (microseconds, largest first), ``largest``
+    is the maximum of all staged rows and ``seen`` that of the new ones. Returns the
+    marks and the maximum afterwards, and the mark to insert, if any. The maximum
+    never falls, so a mark is new exactly if the maximum rose (and is not the seed).
+    """
+    now = max((x for x in (largest, seen) if x is not None), default=None)
+    if now is None or now == largest or now in marks:
+        return list(marks), now, None
+    return sorted({*marks, now}, reverse=True)[:2], now, now
+
+
 def prior_value(wm: DataFrame) -> Column:
     """The prior mark as a scalar-subquery column."""
     return prior(wm).scalar()

@@ -15,8 +15,15 @@ Order and semantics of a cycle:
    cycle's own rows; any violation ends the cycle unpublished;
 7. publish the version (manifest written last).
 
-Each step writes its delta under the new cycle number and the next step
-reads it back, so no step re-derives an earlier one.
+What a cycle reads grows with its pull and its window, not with the history: the
+marks follow from the delta's maximum and the last manifest, fresh rows come from
+the staging slots since the prior mark, the maxima over all rows are kept per key
+and only the buckets that the pull touches are merged, and the mart is written
+anew in the buckets where a row changes. (The dimensions, which are read whole,
+hold each value once.)
+
+Counts and checks ride along with the pass that writes the rows
+(``DataFrame.observe``): a clean pull is not scanned again to be checked.
 """
 
 from __future__ import annotations
@@ -25,20 +32,20 @@ import logging
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from dimloom.constants import MART_KEYS, MART_UPDATE_COLS
+from dimloom.constants import LENGTH_LIMITS, MART_KEYS, MART_UPDATE_COLS
 from dimloom.operators import watermark as wmk
 from dimloom.operators.checks import check_fk, check_length, check_not_null, check_unique
 from dimloom.operators.dedup import distinct_rows
 from dimloom.operators.ids import materialize
-from dimloom.operators.upsert import new_members_of_all, upsert
-from dimloom.plans.mart import build_mart
+from dimloom.operators.upsert import changing, new_members_of_all, upsert
+from dimloom.plans.mart import mart_from_tops, merged_tops
 from dimloom.plans.shape import SHAPERS
 from dimloom.schemas import (DIMENSIONS, KIND_TO_STG, MART_FOREIGN_KEYS, MART_SCHEMA, STG_COLUMNS,
                              STG_SCHEMAS)
-from dimloom.sources.state import StateStore
+from dimloom.sources.state import StateStore, bucket, slot
 
 log = logging.getLogger("dimloom.cycle")
 
@@ -46,16 +53,11 @@ log = logging.getLogger("dimloom.cycle")
 def new_stage_rows(shaped: DataFrame, stg: DataFrame, table: str) -> DataFrame:
     """Shaped rows not yet in staging (whole business row, NULL-safe).
 
-    Equal rows have equal ``dfrom``, so only the history inside the pull's
-    ``dfrom`` range is read: the range is pushed into the scan.
+    Equal rows have equal ``dfrom``: the history that matters lies inside the
+    pull's ``dfrom`` range, and ``stg`` need hold no more.
     """
     cols = STG_COLUMNS[table]
-    pull = distinct_rows(shaped, cols)
-    low, high = shaped.agg(F.min("dfrom"), F.max("dfrom")).first()
-    if low is not None:
-        kind = stg.schema["dfrom"].dataType
-        stg = stg.where(F.col("dfrom").between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
-    s = pull.alias("n")
+    s = distinct_rows(shaped, cols).alias("n")
     t = stg.select(*cols).alias("o")
     cond = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in cols]
     return s.join(t, cond, "left_anti").select(*[F.col(f"n.{c}") for c in cols])
@@ -80,8 +82,15 @@ def _example(df: DataFrame, violation, columns) -> DataFrame:
     return df.select(violation.alias("violation"), F.to_json(F.struct(*[F.col(c) for c in columns])).alias("example"))
 
 
+def pull_facts(table: str) -> dict[str, Column]:
+    """What the pass that writes a shaped pull observes: its ``dfrom`` range, and its violations by kind."""
+    facts = {"first": F.unix_micros(F.min("dfrom")), "last": F.unix_micros(F.max("dfrom"))}
+    facts |= {f"null {c}": F.count_if(F.col(c).isNull()) for c in _required(STG_SCHEMAS[table])}
+    return facts | {f"too long: {c}": F.count_if(F.char_length(c) > n) for c, n in LENGTH_LIMITS.items() if c in STG_COLUMNS[table]}
+
+
 def check_pull(shaped: DataFrame, table: str) -> None:
-    """NOT NULL and lengths of one feed's shaped rows."""
+    """NOT NULL and lengths of one feed's shaped rows; raises with examples."""
     required = [f for f in _required(STG_SCHEMAS[table]) if f in shaped.columns]
     _refuse(f"feed {table}", [_example(check_not_null(shaped, required, ["ngrn"]), F.concat(F.lit("null "), "violation"), ["ngrn"]),
                               _example(check_length(shaped, keep=["ngrn"]), F.concat(F.lit("too long: "), "violation"), ["ngrn"])])
@@ -104,54 +113,88 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
                        for f in STG_SCHEMAS[table].fields])
 
 
+def _observed(df: DataFrame, facts: Mapping[str, Column], label: str) -> tuple[DataFrame, dict]:
+    """``df`` written once, and aggregates that the writing pass saw."""
+    seen = Observation()
+    written = materialize(df.observe(seen, *[c.alias(k) for k, c in facts.items()]), label)
+    return written, seen.get
+
+
+def _stage(store: StateStore, feeds: Mapping[str, DataFrame], prev: int, cyc: int, strict: bool) -> dict[str, set[int]]:
+    """Steps 1 to 3; returns the buckets of the keys that got new rows, per staging table."""
+    v, touched = store.version(cyc), {}
+    for kind, table in KIND_TO_STG.items():
+        # the feed's files are read once
+        shaped, seen = _observed(_typed(SHAPERS[kind](feeds[kind]), table), pull_facts(table), "pull")
+        if strict and any(n for k, n in seen.items() if k not in ("first", "last")):
+            check_pull(shaped, table)
+        known = store.read_since(f"stg_{table}", prev, seen["first"], seen["last"])
+        prior = v.marks[table][0]  # rows before it are late: the next window opens here at the latest
+        got = store.append(f"stg_{table}", new_stage_rows(shaped, known, table), cyc, slot(F.unix_micros("dfrom")), ["ngrn"], {
+            "largest": F.unix_micros(F.max("dfrom")), "late": F.count_if(F.unix_micros("dfrom") < prior),
+            "buckets": F.array_join(F.collect_set(bucket(v.buckets)), ",")})
+        touched[table] = {int(b) for b in filter(None, (got["buckets"] or "").split(","))}
+        v.counts |= {f"stg_{table}.late": got["late"]}
+        marks, largest, new = wmk.step(v.marks[table], v.largest.get(table), got["largest"])
+        v.marks[table] = marks
+        if largest is not None:
+            v.largest[table] = largest
+        if new is not None:
+            mark = store.spark.range(1).select(F.timestamp_micros(F.lit(new)).alias(wmk.COL))
+            store.append(f"wm_{table}", mark, cyc)
+    return touched
+
+
 def run_cycle(store: StateStore, feeds: Mapping[str, DataFrame], batch_id: int | None = None,
-              strict: bool = True, pull: str | None = None) -> int:
+              strict: bool = True, pull: str | None = None, period: tuple[str, str] | None = None) -> int:
     """Run one cycle over ``feeds`` (kind -> raw feed rows); returns the version.
 
-    ``strict=False`` leaves the constraints unchecked. ``pull`` names the pull
-    in the manifest.
+    ``strict=False`` leaves the constraints unchecked. ``pull`` and ``period``
+    name the pull and its bounds in the manifest, which is the log of the cycles.
     """
-    prev, _ = store.latest()
-    if prev < 0:
-        prev = store.initialize()
-    cyc = prev + 1
     missing = [k for k in SHAPERS if k not in feeds]
     if missing:
         raise ValueError(f"feeds missing for {missing}; a cycle needs all three")
+    prev, _ = store.latest()
+    if prev < 0:
+        prev = store.initialize()
+    cyc = store.begin(prev)
+    v = store.version(cyc)
 
-    # 1-2. staging deltas
-    for kind, table in KIND_TO_STG.items():
-        # the feed's files are read once
-        shaped = materialize(_typed(SHAPERS[kind](feeds[kind]), table), "pull")
-        if strict:
-            check_pull(shaped, table)
-        store.write(f"stg_{table}", new_stage_rows(shaped, store.read(f"stg_{table}", prev), table), cyc)
-    stg = {t: store.read(f"stg_{t}", cyc) for t in STG_SCHEMAS}
-
-    # 3. watermarks
-    for t in STG_SCHEMAS:
-        store.write(f"wm_{t}", wmk.added_mark(store.read(f"wm_{t}", prev), stg[t]), cyc)
-    priors = {t: wmk.prior_literal(store.read(f"wm_{t}", cyc)) for t in STG_SCHEMAS}
+    # 1-3. staging deltas and watermarks
+    touched = _stage(store, feeds, prev, cyc, strict)
+    priors = {t: v.marks[t][1] if len(v.marks[t]) > 1 else None for t in STG_SCHEMAS}
+    fresh = {t: store.read_since(f"stg_{t}", cyc, priors[t]) for t in STG_SCHEMAS}
 
     # 4. dimensions (insert-only)
-    fresh = {t: wmk.fresh(stg[t], priors[t]) for t in STG_SCHEMAS}
     members = new_members_of_all({
         name: (store.read(f"dim_{name}", prev), fresh[src].select(*[F.col(s).alias(d) for s, d in cols]), [d for _, d in cols])
         for name, (src, cols) in DIMENSIONS.items()})
     for name, rows in members.items():
-        store.write(f"dim_{name}", rows, cyc)
-
-    # 5. mart
-    rows = materialize(build_mart(stg["short"], stg["okved"], stg["address"],
-                                  priors["short"], priors["okved"], priors["address"], prune=True), "mart-rows")
+        store.append(f"dim_{name}", rows, cyc)
+
+    # 5. mart: maxima of the touched buckets, the changed keys' rows, and the buckets where one differs
+    for t, own in touched.items():
+        if own:
+            store.rewrite(f"top_{t}", merged_tops(store.read(f"top_{t}", prev, own), store.added(f"stg_{t}", cyc), t), cyc, own)
+    keys = reduce(DataFrame.unionByName, [df.select("ngrn") for df in fresh.values()]).distinct()
+    spread = {"buckets": F.array_join(F.collect_set(bucket(v.buckets)), ",")}
+    keys, seen = _observed(keys, spread, "changed-keys")
+    own = [int(b) for b in filter(None, (seen["buckets"] or "").split(","))]
+    rows = materialize(mart_from_tops({t: store.read(f"top_{t}", cyc, own) for t in STG_SCHEMAS}, fresh, keys), "mart-rows")
     # 6. constraints
     if strict:
         check_mart(rows, {d: store.read(f"dim_{d}", cyc) for d, _ in MART_FOREIGN_KEYS.values()})
-    store.write("mart", upsert(store.read("mart", prev), rows, MART_KEYS, MART_UPDATE_COLS, written=True), cyc)
+    rows, seen = _observed(changing(store.read("mart", prev, own), rows, MART_KEYS, MART_UPDATE_COLS), spread, "mart-changes")
+    own = [int(b) for b in filter(None, (seen["buckets"] or "").split(","))]
+    if own:
+        merged = upsert(store.read("mart", prev, own), rows, MART_KEYS, MART_UPDATE_COLS, written=True, base=v.top_id)
+        v.top_id = max(v.top_id, store.rewrite("mart", merged, cyc, own, {"top": F.max("id")})["top"] or 0)
 
     # 7. publish
-    store.publish(cyc, batch_id, pull)
-    log.info("published version %s", cyc)
+    store.fold(cyc)
+    store.publish(cyc, batch_id, pull, period)
+    log.info("published version %s of period %s: %s", cyc, period, v.counts)
     return cyc
 
 

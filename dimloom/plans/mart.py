@@ -28,23 +28,24 @@ partial before its shuffle, the joins are one-to-one on the key, and no
 group of rows is ever paired with another: a key holding a third of the
 data costs the same as any other key. The DuckDB oracle computes the same
 result by brute force (the full join), which checks this algebra.
+
+A load cycle does not even read the history: the "all rows" maxima are kept as a
+table per side (``merged_tops``), into which each cycle merges its own rows, and
+the "fresh rows" maxima come from the staging slots since the prior marks
+(``mart_from_tops``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimloom.constants import NONE_TEXT
 from dimloom.operators.ids import materialize
-from dimloom.schemas import MART_COLUMNS
-
-# Side -> (struct field, source column) in the side's own order.
-SHORT_FIELDS = [("s_dfrom", "dfrom"), ("status", "status"), ("org_type", "org_type")]
-OKVED_FIELDS = [("o_dfrom", "dfrom"), ("okved_code", "okved_code"), ("okved_text", "okved_text")]
-ADDRESS_FIELDS = [("a_dfrom", "dfrom"), ("location", "location"), ("region", "vregion"),
-                  ("district", "vdistrict"), ("settlement", "vnp"), ("email", "vemail"),
-                  ("phone", "vtels")]
+from dimloom.schemas import ADDRESS_FIELDS, MART_COLUMNS, OKVED_FIELDS, SHORT_FIELDS, TOPS
+
 # The survivor order across sides.
 ORDER = ["s_dfrom", "a_dfrom", "o_dfrom", "status", "location", "okved_code", "okved_text",
          "org_type", "region", "district", "settlement", "email", "phone"]
@@ -112,7 +113,11 @@ def build_mart(short: DataFrame, okved: DataFrame, address: DataFrame,
     """
     short, okved, address = _pruned(short, okved, address, prior_short, prior_okved,
                                     prior_address, prune)
-    j = _side_maxima(short, okved, address, prior_short, prior_okved, prior_address)
+    return _survivors(_side_maxima(short, okved, address, prior_short, prior_okved, prior_address))
+
+
+def _survivors(j: DataFrame) -> DataFrame:
+    """The mart's rows from the joined maxima (``s``, ``o``, ``a``; ``_all`` and ``_new``)."""
     c1 = F.when(F.col("s_new").isNotNull(), _candidate("s_new", "o_all", "a_all"))
     c2 = F.when(F.col("a_new").isNotNull(), _candidate("s_all", "o_all", "a_new"))
     c3 = F.when(F.col("o_new").isNotNull(), _candidate("s_all", "o_new", "a_all"))
@@ -129,6 +134,51 @@ def build_mart(short: DataFrame, okved: DataFrame, address: DataFrame,
     )
 
 
+def tops(rows: DataFrame, table: str) -> DataFrame:
+    """(keys, best): the largest row of each key of a staging table, in the side's own order."""
+    keys, fields = TOPS[table]
+    return rows.groupBy(*keys).agg(F.max(_side_struct(fields)).alias("best"))
+
+
+def merged_tops(kept: DataFrame, rows: DataFrame, table: str) -> DataFrame:
+    """The kept maxima brought up to date with new staging rows."""
+    keys, _ = TOPS[table]
+    both = kept.select(*keys, "best").unionByName(tops(rows, table))
+    return both.groupBy(*keys).agg(F.max("best").alias("best"))
+
+
+def mart_from_tops(all_tops: Mapping[str, DataFrame], fresh: Mapping[str, DataFrame], keys: DataFrame) -> DataFrame:
+    """``build_mart`` for the changed ``keys``, from the maxima over all rows and the fresh rows themselves.
+
+    ``all_tops`` and ``fresh`` hold the three staging tables' frames by name; ``keys`` is a written table.
+    """
+    sides = {}
+    for table, tag in (("short", "s"), ("okved", "o"), ("address", "a")):
+        by, _ = TOPS[table]
+        known = all_tops[table].join(keys, "ngrn", "left_semi").select(*by, F.col("best").alias(f"{tag}_all"))
+        sides[tag] = known.join(tops(fresh[table], table).withColumnRenamed("best", f"{tag}_new"), by, "left")
+    return _survivors(sides["s"].join(sides["o"], "ngrn", "left").join(sides["a"], "ngrn", "left"))
+
+
+def mart_steps(short: DataFrame, okved: DataFrame, address: DataFrame,
+               prior_short: Column, prior_okved: Column, prior_address: Column) -> tuple[DataFrame, DataFrame]:
+    """Two cycles' mart rows from one pass: of the rows before the priors alone (everything fresh), and of all rows with the priors.
+
+    The maxima over old and over fresh rows are taken together; those over all
+    rows are the larger of the two.
+    """
+    parts = {"s": (short, ["org_name", "ngrn"], SHORT_FIELDS, prior_short), "o": (okved, ["ngrn"], OKVED_FIELDS, prior_okved),
+             "a": (address, ["ngrn"], ADDRESS_FIELDS, prior_address)}
+    sides = {}
+    for tag, (df, by, fields, prior) in parts.items():
+        row, fresh = _side_struct(fields), F.col("dfrom") >= prior
+        both = df.groupBy(*by).agg(F.max(F.when(~fresh, row)).alias("old"), F.max(F.when(fresh, row)).alias(f"{tag}_new"))
+        sides[tag] = both.withColumns({f"{tag}_all": F.greatest("old", f"{tag}_new"), f"{tag}_old": F.col("old")}).drop("old")
+    j = materialize(sides["s"].join(sides["o"], "ngrn", "left").join(sides["a"], "ngrn", "left"), "maxima")
+    before = [F.col(f"{tag}_old").alias(f"{tag}_{kind}") for tag in parts for kind in ("all", "new")]
+    return _survivors(j.where("s_old is not null").select("org_name", "ngrn", *before)), _survivors(j)
+
+
 def window_keys(short: DataFrame, okved: DataFrame, address: DataFrame,
                 prior_short: Column, prior_okved: Column, prior_address: Column) -> DataFrame:
     """(org_name, ngrn) groups inside the window and which sides made them fresh."""

@@ -93,3 +93,24 @@ MART_FOREIGN_KEYS = {
     "date": ("dates", "date"),
     "status": ("statuses", "status"),
 }
+
+# --- per-key maxima the mart is built from -----------------------------------
+# Side -> (struct field, source column) in the side's own order.
+SHORT_FIELDS = [("s_dfrom", "dfrom"), ("status", "status"), ("org_type", "org_type")]
+OKVED_FIELDS = [("o_dfrom", "dfrom"), ("okved_code", "okved_code"), ("okved_text", "okved_text")]
+ADDRESS_FIELDS = [("a_dfrom", "dfrom"), ("location", "location"), ("region", "vregion"),
+                  ("district", "vdistrict"), ("settlement", "vnp"), ("email", "vemail"),
+                  ("phone", "vtels")]
+# staging table -> (key columns, struct fields)
+TOPS = {"short": (["org_name", "ngrn"], SHORT_FIELDS), "okved": (["ngrn"], OKVED_FIELDS),
+        "address": (["ngrn"], ADDRESS_FIELDS)}
+
+
+def _top_schema(table: str) -> T.StructType:
+    keys, fields = TOPS[table]
+    stg = {f.name: f.dataType for f in STG_SCHEMAS[table].fields}
+    return T.StructType([_f(k, stg[k]) for k in keys]
+                        + [_f("best", T.StructType([_f(n, stg[src]) for n, src in fields]))])
+
+
+TOP_SCHEMAS = {t: _top_schema(t) for t in TOPS}
