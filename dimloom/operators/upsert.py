@@ -54,7 +54,8 @@ def new_members_of_all(tables: Mapping[str, tuple[DataFrame, DataFrame, Sequence
     """``new_members`` of several tables (name -> target, source, keys) in one numbering pass.
 
     All new keys are ordered by table, then key, and numbered together; each
-    table's ids then start after its own maximum.
+    table's ids then start after its own maximum. A table without a new key is
+    not in the result.
     """
     slots = [(s, t) for t, names in _SLOTS.items() for s in names]
     parts, places = [], {}
@@ -65,11 +66,10 @@ def new_members_of_all(tables: Mapping[str, tuple[DataFrame, DataFrame, Sequence
         parts.append(missing_members(target, source, keys).select(
             F.lit(name).alias("table"), *[at.get(s, F.lit(None)).cast(t).alias(s) for s, t in slots]))
     numbered = with_dense_ids(reduce(DataFrame.unionByName, parts), ["table", *[s for s, _ in slots]], "place")
-    first = numbered.groupBy("table").agg(F.min("place").alias("first"))
-    numbered = numbered.join(F.broadcast(first), "table")  # one row per table
+    first = {r["table"]: r["first"] for r in numbered.groupBy("table").agg(F.min("place").alias("first")).collect()}  # one row per table
     return {name: numbered.where(F.col("table") == name).select(
-        (F.col("place") - F.col("first") + 1 + _base_id(target, id_col)).alias(id_col),
-        *[F.col(slot).alias(k) for k, slot in places[name]]) for name, (target, _, _) in tables.items()}
+        (F.col("place") - F.lit(first[name]) + 1 + _base_id(tables[name][0], id_col)).alias(id_col),
+        *[F.col(slot).alias(k) for k, slot in places[name]]) for name in first}
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
