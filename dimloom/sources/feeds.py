@@ -11,7 +11,7 @@ it as ``POSITION`` = (``_file``, ``_block``, ``_pos``). ``_file`` is the path wi
 every number padded, so that ``c1000`` follows ``c999``. A ``lines`` file is read
 in splits: ``_block`` is the split's first byte and ``_pos`` grows inside it. An
 ``array`` file is one JSON value and therefore one task's work (``wholetext``):
-land large responses as ``lines``.
+land large responses as ``lines`` (``fetch.land_period``, ``fetch.land_arrays``).
 
 An absent feed is an error, an empty one (``[]``, or a ``lines`` file without a
 line) is 0 rows: the period must hold at least one file, and with
@@ -65,7 +65,7 @@ def _check_present(spark: SparkSession, path: str, start, end, every_day: bool)
             raise FileNotFoundError(f"no feed file under {path} for {sorted(wanted - days)}")
 
 
-def _natural(path):
+def natural_path(path):
     """Text that sorts by the numbers in ``path`` (each padded to 20 digits)."""
     return F.regexp_replace(F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1"), r"\d*(\d{20})(?!\d)", "$1")
 
@@ -82,8 +82,8 @@ def read_feed(spark: SparkSession, kind: str, root: str, start=None, end=None,
     path = f"{root.rstrip('/')}/{kind}"
     _check_present(spark, path, start, end, every_day)
     strict = {"mode": "FAILFAST"}
-    raw = _in_period(spark.read.option("wholetext", layout == "array").text(path), start, end)
-    file = _natural(F.col("_metadata.file_path")).alias("_file")
+    raw = _in_period(spark.read.text(path, wholetext=layout == "array"), start, end)
+    file = natural_path(F.col("_metadata.file_path")).alias("_file")
     if layout == "array":
         rows = raw.select("load_date", file, F.lit(0).cast("long").alias("_block"),
                           F.posexplode(F.from_json("value", T.ArrayType(schema), strict)).alias("_pos", "r"))
