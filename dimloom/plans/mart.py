@@ -165,7 +165,7 @@ def mart_steps(short: DataFrame, okved: DataFrame, address: DataFrame,
     """Two cycles' mart rows from one pass: of the rows before the priors alone (everything fresh), and of all rows with the priors.
 
     The maxima over old and over fresh rows are taken together; those over all
-    rows are the larger of the two.
+    rows are the larger of the two. Rows without a ``dfrom`` are in neither.
     """
     parts = {"s": (short, ["org_name", "ngrn"], SHORT_FIELDS, prior_short), "o": (okved, ["ngrn"], OKVED_FIELDS, prior_okved),
              "a": (address, ["ngrn"], ADDRESS_FIELDS, prior_address)}

@@ -343,10 +343,8 @@ def q_mart_upsert(spark, sf):
     s = _stg(spark, sf)
     ps, po, pa = s.priors()
     short, okved, address = _mart_inputs(s)
-    first = mart_plan.build_mart(wmk.late(short, ps), wmk.late(okved, po), wmk.late(address, pa),
-                                 *s.seeds())
+    first, source = mart_plan.mart_steps(short, okved, address, ps, po, pa)
     target = with_dense_ids(first, list(MART_KEYS))
-    source = mart_plan.build_mart(short, okved, address, ps, po, pa)
     return upsert(target, source, MART_KEYS, MART_UPDATE_COLS).select("id", *MART_COLUMNS)
 
 
@@ -549,6 +547,23 @@ RAW = {"short_info": "raw_short", "contact_info": "raw_address", "okved_info": "
 TABLE_OF = {v: k for k, v in KIND_OF.items()}
 
 
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(s: Standins, kind: str) -> str:
+    """The root below which a stand-in feed lies as day-partitioned JSON lines.
+
+    Landing is the register's side of a pull, not the query's: it is done once for
+    a session and folder.
+    """
+    key = (s.spark.sparkContext.applicationId, s.sf_dir, kind)
+    if key not in _LANDED:
+        root = scratch_dir(s.spark, "feeds")
+        write_feed(getattr(s, RAW[kind])(), root, kind, FEED_ORDER[kind])
+        _LANDED[key] = root
+    return _LANDED[key]
+
+
 def land_feeds(s: Standins, root: str) -> None:
     """Write the three stand-in feeds as day-partitioned JSON-lines files."""
     for kind in FEED_KINDS:
@@ -566,10 +581,8 @@ def _feed_query(kind: str):
 
     def fn(spark, sf):
         s = _stg(spark, sf)
-        root = scratch_dir(spark, "feeds")
-        write_feed(getattr(s, RAW[kind])(), root, kind, FEED_ORDER[kind])
         lo, hi = _feed_period(s, t)
-        feed = read_feed(spark, kind, root, lo, hi, layout="lines", schema=feed_schema_ntz(kind))
+        feed = read_feed(spark, kind, landed(s, kind), lo, hi, layout="lines", schema=feed_schema_ntz(kind))
         return SHAPERS[kind](feed)
 
     order = ", ".join(FEED_ORDER[kind][1:])
