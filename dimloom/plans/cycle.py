@@ -54,13 +54,19 @@ def new_stage_rows(shaped: DataFrame, stg: DataFrame, table: str) -> DataFrame:
     """Shaped rows not yet in staging (whole business row, NULL-safe).
 
     Equal rows have equal ``dfrom``: the history that matters lies inside the
-    pull's ``dfrom`` range, and ``stg`` need hold no more.
+    pull's ``dfrom`` range, and ``stg`` need hold no more. That history first
+    meets the pull's rows by a semi-join: a pull that Spark measures as small is
+    broadcast, so the history is scanned and not shuffled; only the rows that
+    both hold go on to the anti-join.
     """
     cols = STG_COLUMNS[table]
-    s = distinct_rows(shaped, cols).alias("n")
-    t = stg.select(*cols).alias("o")
-    cond = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in cols]
-    return s.join(t, cond, "left_anti").select(*[F.col(f"n.{c}") for c in cols])
+
+    def same(a: str, b: str) -> list[Column]:
+        return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols]
+
+    pull = distinct_rows(shaped, cols)
+    held = stg.select(*cols).alias("o").join(pull.alias("p"), same("o", "p"), "left_semi")
+    return pull.alias("n").join(held.alias("h"), same("n", "h"), "left_anti").select(*[F.col(f"n.{c}") for c in cols])
 
 
 class ConstraintViolation(ValueError):

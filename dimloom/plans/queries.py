@@ -19,8 +19,8 @@ from dimloom.functions.columns import (fill_default, json_field, nested_field, o
                                        org_type, period_text)
 from dimloom.operators import checks, dedup, portal
 from dimloom.operators import watermark as wmk
-from dimloom.operators.ids import with_dense_ids
-from dimloom.operators.upsert import insert_ignore, new_members, upsert
+from dimloom.operators.ids import materialize, with_dense_ids
+from dimloom.operators.upsert import changing, insert_ignore, new_members, upsert
 from dimloom.plans import mart as mart_plan
 from dimloom.plans.shape import SHAPERS
 from dimloom.plans.standins import (FEED_ORDER, SEED_SQL, SQL_BASE, STG_COLS_SQL,
@@ -246,6 +246,42 @@ def q_watermark_advance(spark, sf):
                        .select(F.lit(KIND_OF[t]).alias("source"), wmk.COL) for t in TABLES])
 
 
+def _marks_sql(t: str) -> str:
+    return f"(SELECT max(max_dfrom) FROM wm_{t}) AS mark, {PRIOR_SQL[t]} AS prior"
+
+
+@query("watermark_step", SQL_BASE + "\n" + " UNION ALL ".join(f"SELECT '{KIND_OF[t]}' AS source, {_marks_sql(t)}" for t in TABLES))
+def q_watermark_step(spark, sf):
+    """The two largest marks after the last month, carried on from the month before by that month's maximum alone."""
+    s, rows = _stg(spark, sf), []
+    for t in TABLES:
+        before = s.wm(t, exclude_last_month=True).select(F.unix_micros(F.col(wmk.COL).cast("timestamp")).alias("m"))
+        marks = [r["m"] for r in before.orderBy(F.col("m").desc()).limit(2).collect()]  # two numbers of the last manifest
+        last = s.stg(t).agg(F.max(F.trunc("dfrom", "month"))).scalar()
+        delta = s.stg(t).where(F.trunc("dfrom", "month") == last)
+        seen = delta.agg(F.unix_micros(F.max("dfrom").cast("timestamp"))).first()[0]
+        marks, _, _ = wmk.step(marks, marks[0] if len(marks) > 1 else None, seen)
+        rows.append((KIND_OF[t], *[*marks, None][:2]))
+    found = spark.createDataFrame(rows, "source string, mark long, prior long")  # three rows
+    return found.select("source", *[F.timestamp_micros(c).cast("timestamp_ntz").alias(c) for c in ("mark", "prior")])
+
+
+@query("stage_since", SQL_BASE + f"""
+SELECT {STG_COLS_SQL['short']} FROM stg_short WHERE dfrom >= (SELECT ps FROM p)""")
+def q_stage_since(spark, sf):
+    """The fresh rows out of a store's staging: only the slots since the prior mark are listed."""
+    from dimloom.sources.state import StateStore, slot
+
+    s = _stg(spark, sf)
+    store = StateStore(spark, scratch_dir(spark, "stage-since"))
+    cycle = store.begin(store.initialize())
+    rows = s.stg_short().withColumn("dfrom", F.col("dfrom").cast("timestamp"))
+    store.append("stg_short", rows, cycle, slot(F.unix_micros("dfrom")), ["ngrn"])
+    store.publish(cycle)
+    prior = wmk.prior(s.wm("short")).select(F.unix_micros(F.col("prior").cast("timestamp"))).first()[0]
+    return store.read_since("stg_short", cycle, prior).withColumn("dfrom", F.col("dfrom").cast("timestamp_ntz"))
+
+
 @query("incremental_filter", SQL_BASE + f"""
 SELECT {STG_COLS_SQL['short']} FROM stg_short WHERE dfrom >= (SELECT ps FROM p)""")
 def q_incremental_filter(spark, sf):
@@ -288,6 +324,23 @@ def q_mart_build_pruned(spark, sf):
     return mart_plan.build_mart(*_mart_inputs(s), *s.priors(), prune=True)
 
 
+@query("mart_incremental", SQL_BASE + mart_sql())
+def q_mart_incremental(spark, sf):
+    """The mart from kept per-key maxima: those of the history before the priors, into which the fresh rows are merged month by month."""
+    s = _stg(spark, sf)
+    priors = dict(zip(("short", "okved", "address"), s.priors()))
+    kept, fresh = {}, {}
+    for t, prior in priors.items():
+        rows = s.stg(t)
+        fresh[t] = materialize(wmk.fresh(rows, prior), "fresh")
+        first = fresh[t].agg(F.min(F.trunc("dfrom", "month"))).scalar()
+        kept[t] = mart_plan.tops(wmk.late(rows, prior), t)
+        for delta in (fresh[t].where(F.trunc("dfrom", "month") == first), fresh[t].where(F.trunc("dfrom", "month") > first)):
+            kept[t] = materialize(mart_plan.merged_tops(kept[t], delta, t), "tops")
+    keys = materialize(_union_all([f.select("ngrn") for f in fresh.values()]).distinct(), "changed-keys")
+    return mart_plan.mart_from_tops(kept, fresh, keys)
+
+
 @query("mart_join_left", SQL_BASE + mart_sql(ps=SEED_SQL, po=SEED_SQL, pa=SEED_SQL))
 def q_mart_join_left(spark, sf):
     s = _stg(spark, sf)
@@ -348,6 +401,23 @@ def q_mart_upsert(spark, sf):
     return upsert(target, source, MART_KEYS, MART_UPDATE_COLS).select("id", *MART_COLUMNS)
 
 
+def _changes_sql() -> str:
+    cut = {t: f"(SELECT * FROM stg_{t} WHERE dfrom < {PRIOR_SQL[t]})" for t in TABLES}
+    first = mart_sql(short=cut["short"], okved=cut["okved"], address=cut["address"], ps=SEED_SQL, po=SEED_SQL, pa=SEED_SQL)
+    same = " AND ".join([f"t.{c} = s.{c}" for c in MART_KEYS] + [f"t.{c} IS NOT DISTINCT FROM s.{c}" for c in MART_UPDATE_COLS])
+    return SQL_BASE + f""",
+target AS ({first}), source AS ({mart_sql()})
+SELECT {', '.join(MART_COLUMNS)} FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE {same})"""
+
+
+@query("mart_changes", _changes_sql())
+def q_mart_changes(spark, sf):
+    """The window's rows that an upsert would not find as they are: what decides which buckets are written anew."""
+    s = _stg(spark, sf)
+    target, source = mart_plan.mart_steps(*_mart_inputs(s), *s.priors())
+    return changing(target, source, MART_KEYS, MART_UPDATE_COLS).select(*MART_COLUMNS)
+
+
 # --------------------------------------------------------------------------
 # Dimensions (U2 x10, J4, C5)
 # --------------------------------------------------------------------------
@@ -686,6 +756,18 @@ def q_cycle_stream(spark, sf):
     return store.read("mart", store.latest()[0])
 
 
+@query("cycle_log", CYCLE_SQL + " " + " UNION ALL ".join(
+    f"SELECT CAST({n} AS BIGINT) AS version, 'stg_{t}' AS table_name, (SELECT count(*) FROM pull1_{t}) AS rows" if n == 1 else
+    f"SELECT CAST(2 AS BIGINT), 'stg_{t}', (SELECT count(*) FROM all_{t}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM pull1_{t}) x)"
+    for n in (1, 2) for t in KINDS_SQL))
+def q_cycle_log(spark, sf):
+    """What the manifests say that each pull added to staging, as observed by the passes that wrote it."""
+    _, _, store = _streamed(spark, sf)
+    counts = store.manifests().select("version", F.explode("counts").alias("name", "rows"))
+    return (counts.where(F.col("name").isin([f"stg_{t}.rows" for t in TABLES]))
+                  .select("version", F.regexp_replace("name", r"\.rows$", "").alias("table_name"), "rows"))
+
+
 def _counted_sql(name: str, body: str) -> str:
     return f"SELECT '{name}' AS table_name, count(*) AS rows_before, count(*) AS rows_after, CAST(0 AS BIGINT) AS changed FROM ({body}) t"
 
