@@ -4,9 +4,11 @@
   results) with one identifier the first by turn counts; the others are
   reported, not dropped.
 * Calls are ordered topologically by the calls they need: a call's level is
-  one more than the largest level of its needs. Levels are found round by
-  round over the edges still open, one join each; calls left over stand on a
-  cycle. Needs that no call has are reported.
+  one more than the largest level of its needs. Chains of calls that need one
+  call each are pulled together by pointer doubling, so rounds grow with the
+  logarithm of their length, and with the number of calls that need several on
+  one path; calls left over stand on a cycle, or need one that does. Needs that
+  no call has are reported.
 * Arguments are validated against their tool's JSON schema, and every message
   is serialised as canonical JSON (sorted keys, no spaces, UTF-8) in Arrow
   batches.
@@ -74,20 +76,67 @@ def violation(value: object, schema: Mapping, at: str = "$") -> str | None:
     return None
 
 
+def anchored(pointers: DataFrame, ends: DataFrame, count: int) -> DataFrame:
+    """(call_id, at, steps): follow each call's one pointer (call_id, at, steps) to the first of the ``ends``.
+
+    Pointer doubling: a round doubles the steps that are taken at once, so the
+    rounds grow with the logarithm of the longest chain. After as many rounds
+    as ``count`` calls could need, what has not arrived goes round in a circle,
+    and is left out.
+    """
+    ends = ends.select(F.col("call_id").alias("at"), F.lit(True).alias("there"))
+    now = materialize(pointers.join(ends, "at", "left").select("call_id", "at", "steps", F.coalesce("there", F.lit(False)).alias("there")), "chat-steps")
+    for _ in range(max(1, count.bit_length()) + 1):
+        if not now.where("not there").limit(1).count():
+            break
+        over = now.select(F.col("call_id").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"), F.col("there").alias("arrived"))
+        moved = now.where("not there").join(over, "at").select("call_id", F.col("next").alias("at"), (F.col("steps") + F.col("more")).alias("steps"), F.col("arrived").alias("there"))
+        now = materialize(now.where("there").union(moved), "chat-steps")
+    return now.where("there").select("call_id", "at", "steps")
+
+
 def levels(calls: DataFrame) -> DataFrame:
-    """(call_id, level, unknown_needs) of calls (call_id, needs): level null on a cycle."""
+    """(call_id, level, unknown_needs) of calls (call_id, needs): level null on a cycle, or behind one.
+
+    Calls that need one call only are chains, and are pulled together by pointer
+    doubling. What stays are the *joints*, which need several: their edges lead to
+    the ends of the chains, with the chain's length as weight. Joints whose edges
+    all lead to one end are links of a longer chain, and so on, until none is left;
+    else a round places the joints whose ends are all placed.
+    """
     edges = calls.select("call_id", F.explode("needs").alias("need")).distinct()
-    known = calls.select("call_id").distinct()
+    known = materialize(calls.select("call_id").distinct(), "chat-calls")
     missing = edges.join(known.withColumnRenamed("call_id", "need"), "need", "left_anti").groupBy("call_id").agg(F.count(F.lit(1)).alias("unknown_needs"))
-    open_edges = materialize(edges.join(known.withColumnRenamed("call_id", "need"), "need"), "chat-edges")
-    placed = materialize(known.join(open_edges.select("call_id").distinct(), "call_id", "left_anti").withColumn("level", F.lit(0).cast("long")), "chat-levels")
-    every, at = placed, 0
-    while open_edges.limit(1).count() and placed.limit(1).count():
-        waiting = materialize(open_edges.join(placed.select(F.col("call_id").alias("need")), "need", "left_anti"), "chat-edges")
-        at += 1
-        placed = materialize(open_edges.select("call_id").distinct().join(waiting.select("call_id").distinct(), "call_id", "left_anti").withColumn("level", F.lit(at).cast("long")), "chat-levels")
-        every, open_edges = every.union(placed), waiting
-    return known.join(every, "call_id", "left").join(missing, "call_id", "left").select("call_id", "level", F.coalesce("unknown_needs", F.lit(0)).alias("unknown_needs"))
+    links = materialize(edges.join(known.withColumnRenamed("call_id", "need"), "need").select("call_id", F.col("need").alias("at"), F.lit(1).cast("long").alias("steps")), "chat-edges")
+    count = known.count()
+    placed = materialize(known.join(links.select("call_id").distinct(), "call_id", "left_anti").withColumn("level", F.lit(0).cast("long")), "chat-levels")
+    hung = None  # chains (call_id, at, steps), the later ones first: their ends are placed before them
+    while links.limit(1).count():
+        ends = links.groupBy("call_id").agg(F.min("at").alias("at"), F.max("at").alias("other"), F.max("steps").alias("steps"))
+        ends = materialize(ends, "chat-ends")
+        single = ends.where("at = other").select("call_id", "at", "steps")
+        joints = ends.where("at != other").select("call_id")
+        if single.limit(1).count():
+            chains = anchored(single, joints.union(placed.select("call_id")), count)
+            hung = [chains, *(hung or [])]
+            over = chains.select(F.col("call_id").alias("at"), F.col("at").alias("end"), F.col("steps").alias("more"))
+            lost = single.select("call_id").join(chains.select("call_id"), "call_id", "left_anti").select(F.col("call_id").alias("at"), F.lit(True).alias("lost"))
+            links = links.join(joints, "call_id", "left_semi").join(over, "at", "left").select("call_id", F.coalesce("end", "at").alias("at"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"))
+            # a joint that needs a call of a circle is behind it, and never placed
+            behind = links.join(lost, "at").select("call_id").distinct()
+            links = materialize(links.join(behind, "call_id", "left_anti").groupBy("call_id", "at").agg(F.max("steps").alias("steps")), "chat-edges")
+        else:
+            met = links.join(placed.select(F.col("call_id").alias("at"), "level"), "at", "left").groupBy("call_id").agg(
+                F.count_if(F.col("level").isNull()).alias("waiting"), F.max(F.col("level") + F.col("steps")).alias("level"))
+            new = materialize(met.where("waiting = 0").select("call_id", "level"), "chat-levels")
+            if not new.limit(1).count():
+                break  # only circles are left, and what is behind them
+            placed = materialize(placed.union(new), "chat-levels")
+            links = materialize(links.join(new.select("call_id"), "call_id", "left_anti"), "chat-edges")
+    for chains in hung or []:
+        ends = placed.select(F.col("call_id").alias("at"), F.col("level").alias("base"))
+        placed = materialize(placed.union(chains.join(ends, "at").select("call_id", (F.col("base") + F.col("steps")).alias("level"))), "chat-levels")
+    return known.join(placed, "call_id", "left").join(missing, "call_id", "left").select("call_id", "level", F.coalesce("unknown_needs", F.lit(0)).alias("unknown_needs"))
 
 
 def first_of(df: DataFrame, columns: list[str]) -> DataFrame:

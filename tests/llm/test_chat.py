@@ -41,3 +41,59 @@ def test_turns_and_empty_tables(spark):
     assert out == {("call", 1, 0): (0, None), ("call", 1, 2): (1, "$.question: wrong length"), ("result", 1, 1): (0, None), ("result", 1, 3): (1, None), ("result", 2, 1): (None, "no call"),
                    ("call", None, 0): (None, "no id"), ("call", 3, None): (None, "no id"), ("message", 4, 0): (None, None)}
     assert chat.format_chat(*chat.from_turns(df.limit(0)), chat.ASK).count() == 0
+
+
+def plain_levels(needs):
+    """call -> level by walking each path; None on a cycle or behind one."""
+    out, on = {}, object()
+
+    def level(c):
+        if out.get(c) is on:
+            return None
+        if c not in out:
+            out[c] = on
+            under = [level(n) for n in needs[c] if n in needs]
+            out[c] = None if None in under else 1 + max(under, default=-1)
+        return out[c]
+
+    import sys
+    sys.setrecursionlimit(20_000)
+    circles = set()
+    for c in needs:  # a call whose walk meets itself
+        seen, todo = set(), [n for n in needs[c] if n in needs]
+        while todo:
+            x = todo.pop()
+            if x == c:
+                circles.add(c)
+                break
+            if x not in seen:
+                seen.add(x)
+                todo += [n for n in needs[x] if n in needs]
+    behind = dict.fromkeys(circles)
+    out.update(behind)
+    for c in needs:
+        level(c)
+    return out
+
+
+def test_levels_of_long_chains_joints_and_circles(spark):
+    import random
+
+    rng = random.Random(4)
+    needs = {f"c{k}": [f"c{k - 1}"] if k else [] for k in range(300)}                                  # a long chain
+    needs |= {f"d{k}": [f"d{k - 1}", f"c{k * 7 % 300}"] if k % 9 == 8 else [f"d{k - 1}"] if k else [] for k in range(60)}  # joints on it
+    needs |= {f"o{k}": [f"o{(k + 1) % 11}"] for k in range(11)} | {"p0": ["o3"], "p1": ["p0", "c5"], "p2": ["p1"], "p3": ["p2", "c1"]}  # a circle, and what is behind it
+    needs |= {f"x{k}": rng.sample([f"x{j}" for j in range(k)] or ["nowhere"], min(k, rng.randint(0, 3))) for k in range(40)}
+    needs |= {"self": ["self"], "twice": ["c4", "c4"], "two": ["c9", "e"], "e": ["c9"]}
+    df = spark.createDataFrame([(c, n) for c, n in needs.items()], "call_id string, needs array<string>")
+    assert {r.call_id: r.level for r in chat.levels(df).collect()} == plain_levels(needs)
+
+
+def test_clashing_columns_and_long_texts(spark):
+    from pyspark.sql import functions as F
+
+    turns = [(1, k, "user" if k % 2 == 0 else "assistant", "word " * (100_000 if k == 2 else 3)) for k in range(40)]
+    df = spark.createDataFrame(turns, MESSAGES)
+    want = sorted(map(str, chat.format_chat(*chat.from_turns(df), chat.ASK).collect()))
+    extra = df.withColumns({c: F.lit("x") for c in ("level", "kind", "call_id", "json", "problem", "needs", "at", "steps", "there", "arguments", "name")})
+    assert len(want) == 40 and sorted(map(str, chat.format_chat(*chat.from_turns(extra), chat.ASK).collect())) == want
