@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimloom.llm.components import connected_components
 from dimloom.llm.jaccard import spanning
@@ -165,7 +166,10 @@ def compare(threshold: float, lines: int):
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.98, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per row of ``vectors``."""
-    own = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").cast("array<double>").alias("embedding"), F.col(f"`{label}`").cast("long").alias("label"))
+    group = F.col(f"`{label}`")
+    if not isinstance(vectors.schema[label].dataType, T.IntegralType):  # labels of other types by their 64-bit hash
+        group = F.when(group.isNotNull(), F.xxhash64(group))
+    own = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").cast("array<double>").alias("embedding"), group.cast("long").alias("label"))
     signed = own.mapInArrow(sign, "vec_id long, label long, node long, body binary")
     classes = materialize(signed.where("node is not null").groupBy("node", "label", "body").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("rep")), "vector-classes")
     depth = max(2, math.ceil(math.log(max(1, classes.count()) / CROWD, 4)))

@@ -68,3 +68,27 @@ def test_more_lines_than_a_byte_counts(spark, monkeypatch):
 def test_least_collisions_of_thousands_of_lines():
     assert 0.6 * 4_000 < near_vectors.least_collisions(4_000, 0.9) < 0.75 * 4_000
     assert near_vectors.least_collisions(24, 1.0) == 24
+
+
+def test_text_labels_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    rows = clusters(30)
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(tuple, near_vectors.near_vectors(df).collect()))
+    named = df.withColumn("label", F.concat(F.lit("group "), F.col("label").cast("string")))
+    extra = named.withColumns({c: F.lit("x") for c in ("node", "body", "copies", "cells", "t", "cell", "block", "i", "j", "links", "n_links", "component_id", "kept")})
+    assert sorted(map(tuple, near_vectors.near_vectors(extra).collect())) == want
+
+
+def test_recall_at_greater_depths(spark, monkeypatch):
+    """As with very many vectors: cells by four and by six lines."""
+    rows = clusters(120, seed=8)
+    links = np.bincount(np.array(plain(rows)).ravel(), minlength=len(rows))
+    df = spark.createDataFrame(rows, SCHEMA)
+    for crowd, depth in ((len(rows) / 4 ** 3.5, 4), (len(rows) / 4 ** 5.5, 6)):
+        monkeypatch.setattr(near_vectors, "CROWD", crowd)
+        got = {r.vec_id: r.n_links for r in near_vectors.near_vectors(df).collect()}
+        recall = sum(got.values()) / links.sum()
+        print(f"depth {depth}: recall {recall:.3f} of {links.sum() // 2} links")
+        assert all(got[k] <= links[k] for k in range(len(rows))) and recall >= 0.9
