@@ -95,5 +95,13 @@ def test_packing_stage(stages):
 
 def test_every_operator_is_registered():
     numbers = [int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_empty_tables(spark, workdir):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.limit(0).write.parquet(f"{workdir}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{workdir}/labels.parquet")
+    out = corpus_pipeline.run(spark, workdir)
+    assert out.count() == 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
