@@ -135,14 +135,14 @@ def _stage(store: StateStore, feeds: Mapping[str, DataFrame], prev: int, cyc: in
         if strict and any(n for k, n in seen.items() if k not in ("first", "last")):
             check_pull(shaped, table)
         known = store.read_since(f"stg_{table}", prev, seen["first"], seen["last"])
-        prior = v.marks[table][0]  # rows before it are late: the next window opens here at the latest
+        before = v.marks[table]  # the window will open at one of these: rows before it are late
         got = store.append(f"stg_{table}", new_stage_rows(shaped, known, table), cyc, slot(F.unix_micros("dfrom")), ["ngrn"], {
-            "largest": F.unix_micros(F.max("dfrom")), "late": F.count_if(F.unix_micros("dfrom") < prior),
+            "largest": F.unix_micros(F.max("dfrom")), **{f"before {m}": F.count_if(F.unix_micros("dfrom") < m) for m in before},
             "buckets": F.array_join(F.collect_set(bucket(v.buckets)), ",")})
         touched[table] = {int(b) for b in filter(None, (got["buckets"] or "").split(","))}
-        v.counts |= {f"stg_{table}.late": got["late"]}
-        marks, largest, new = wmk.step(v.marks[table], v.largest.get(table), got["largest"])
+        marks, largest, new = wmk.step(before, v.largest.get(table), got["largest"])
         v.marks[table] = marks
+        v.counts[f"stg_{table}.late"] = got.get(f"before {marks[-1]}", 0) if len(marks) > 1 else 0
         if largest is not None:
             v.largest[table] = largest
         if new is not None:
