@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimloom.llm.lines import computed
@@ -127,29 +127,64 @@ def known_chance(chances: str) -> Column:
     return 1 - F.col(chances)[0]
 
 
-def train(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Classifier:
-    """Fit on the made notices and at most ``UNKNOWN_ROWS`` paragraphs, and calibrate the unknown class on all of them."""
-    order = F.xxhash64("notice", F.lit(11))
-    unnamed = paragraphs(docs, doc_id, text).where(~F.col("notice").rlike(NAMING))
-    sample = materialize(unnamed.select("notice", order.alias("order")).distinct()
-                         .orderBy("order", "notice").limit(UNKNOWN_ROWS), "licence-sample")
+def sampled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(notice, order): at most ``UNKNOWN_ROWS`` distinct paragraphs that name no licence, those of the smallest hashes.
+
+    Hashes are spread evenly, so the number of distinct ones says below which
+    about that many lie: no more than those few paragraphs are ever moved.
+    """
+    unnamed = paragraphs(docs, doc_id, text).where(~F.col("notice").rlike(NAMING)).select("notice", F.xxhash64("notice", F.lit(11)).alias("order"))
+    n = unnamed.agg(F.approx_count_distinct("order", 0.02)).first()[0]
+    share = min(1.0, 1.25 * UNKNOWN_ROWS / max(n, 1))
+    top = int(share * (1 << 64)) - (1 << 63) - 1
+    return unnamed.where(F.col("order") <= F.lit(min(top, (1 << 63) - 1))).distinct().orderBy("order", "notice").limit(UNKNOWN_ROWS)
+
+
+def fit(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Classifier:
+    """Fitted on the made notices and the sample of unknown paragraphs, and not yet calibrated."""
+    sample = materialize(sampled(docs, doc_id, text), "licence-sample")
     classes = [UNKNOWN, *families()]
     label = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("family")) - 1
     half = F.pmod(F.shiftright("order", 8), F.lit(2))
     rows = notices(spark).union(sample.where(half == 0).select(F.lit(UNKNOWN).alias("family"), "notice"))
     rows = with_grams(rows, "notice").withColumn("label", label.cast("double"))
     model = LogisticRegression(family="multinomial", maxIter=30, regParam=2e-3, elasticNetParam=0.3).fit(hashing().transform(rows).select("label", "features"))
-    known = Classifier(model, classes, LEAST)
-    cut = known.score(with_grams(unnamed.select("notice"), "notice")).agg(F.percentile_approx(known_chance("chances"), 1 - FALSE_SHARE, 10_000)).first()[0]
+    return Classifier(model, classes, LEAST)
+
+
+def scored(docs: DataFrame, classifier: Classifier, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, float | None]:
+    """The paragraphs whose chance is ``LEAST`` or more (written), and the chance that ``FALSE_SHARE`` of those without a licence's words pass.
+
+    One pass scores every paragraph, once; the chance is observed on its way.
+    """
+    seen = Observation()
+    chance = known_chance("chances")
+    rows = classifier.score(with_grams(paragraphs(docs, doc_id, text), "notice")).select("doc_id", "paragraph", "notice", "words", "chances")
+    rows = rows.observe(seen, F.percentile_approx(F.when(~F.col("notice").rlike(NAMING), chance), 1 - FALSE_SHARE, 10_000).alias("cut"))
+    return materialize(rows.where(chance >= LEAST), "licence-scored"), seen.get["cut"]
+
+
+def train(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Classifier:
+    """Fit on the made notices and at most ``UNKNOWN_ROWS`` paragraphs, and calibrate the unknown class on all of them."""
+    return trained(spark, docs, doc_id, text)[0]
+
+
+def trained(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[Classifier, DataFrame]:
+    """``train``, and the scored paragraphs of ``docs``, which a scan of the same documents need not score again."""
+    known = fit(spark, docs, doc_id, text)
+    rows, cut = scored(docs, known, doc_id, text)
     known.least = max(LEAST, cut or 0.0)
-    return known
+    return known, rows
+
 
+def license_paragraphs(docs: DataFrame, classifier: Classifier, doc_id: str = "doc_id", text: str = "text", rows: DataFrame | None = None) -> DataFrame:
+    """(doc_id, paragraph, notice, family, probability, similarity, confirmed): the paragraphs that count as a licence.
 
-def license_paragraphs(docs: DataFrame, classifier: Classifier, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, paragraph, notice, family, probability, similarity, confirmed): the paragraphs that count as a licence."""
-    scored = classifier.score(with_grams(paragraphs(docs, doc_id, text), "notice"))
+    ``rows`` are the scored paragraphs of ``docs``, if there are (``trained``).
+    """
+    rows = scored(docs, classifier, doc_id, text)[0] if rows is None else rows
     known = F.slice("chances", 2, len(classifier.classes) - 1)
-    named = (scored.where(known_chance("chances") >= classifier.least)
+    named = (rows.where(known_chance("chances") >= classifier.least)
              .select("doc_id", "paragraph", "notice", F.array_distinct("words").alias("words"), F.element_at(F.array(*[F.lit(c) for c in classifier.classes[1:]]), F.array_position(known, F.array_max(known)).cast("int")).alias("family"),
                      known_chance("chances").alias("probability")))
     # the templates are constants, one row for each family
@@ -161,9 +196,9 @@ def license_paragraphs(docs: DataFrame, classifier: Classifier, doc_id: str = "d
     return met.select("doc_id", "paragraph", "notice", "family", "probability", likeness.alias("similarity"), F.coalesce(likeness >= 1, F.lit(False)).alias("confirmed"))
 
 
-def license_scan(docs: DataFrame, classifier: Classifier, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def license_scan(docs: DataFrame, classifier: Classifier, doc_id: str = "doc_id", text: str = "text", rows: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_paragraphs, n_notices, families): one row per row; ``families`` the confirmed ones, sorted, or null."""
-    found = (license_paragraphs(docs, classifier, doc_id, text).where("confirmed").groupBy("doc_id")
+    found = (license_paragraphs(docs, classifier, doc_id, text, rows).where("confirmed").groupBy("doc_id")
              .agg(F.count(F.lit(1)).alias("n_notices"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"))
              .withColumnRenamed("doc_id", "_id"))
     counted = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.size(F.filter(F.split(f"`{text}`", "\n", -1), lambda p: p.rlike(WORD))), F.lit(0)).cast("long").alias("n_paragraphs"))

@@ -47,7 +47,8 @@ def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return licenses.license_scan(docs, licenses.train(spark, docs))
+    known, rows = licenses.trained(spark, docs)
+    return licenses.license_scan(docs, known, rows=rows)
 
 
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
