@@ -125,28 +125,31 @@ def fit(texts: pa.Array, good: np.ndarray, held: np.ndarray) -> Model | None:
     """Fit on the rows outside ``held`` and calibrate on those inside; None if a side lacks a class."""
     if any(len(np.unique(good[part])) < 2 for part in (held, ~held)):
         return None
-    w = Words(texts)
-    size = (2 + len(CHAR_SIZES)) << BITS
-    rows, columns, values = [], [], []
-    for text, feature in features(w):
-        cell, n = np.unique(text * size + feature, return_counts=True)
-        row = cell // size
-        rows.append(row)
-        columns.append(cell % size)
-        values.append(n / np.maximum(np.bincount(text, minlength=w.texts), 1)[row])
+    size, n_texts = (2 + len(CHAR_SIZES)) << BITS, len(texts)
+    rows, columns, values, before = [], [], [], 0
+    # slice by slice: only a text's distinct features are kept, never all occurrences of the sample
+    for part in slices(pa.record_batch([texts], ["text"]), "text"):
+        w = Words(part.column("text"))
+        for text, feature in features(w):
+            cell, n = np.unique(text * size + feature, return_counts=True)
+            row = cell // size
+            rows.append((row + before).astype(np.int32))
+            columns.append((cell % size).astype(np.int32))
+            values.append(n / np.maximum(np.bincount(text, minlength=w.texts), 1)[row])
+        before += w.texts
     row, column, value = (np.concatenate(x) for x in (rows, columns, values))
     used = ~held[row]
     r, c, v = row[used], column[used], value[used]
     weights, step = np.zeros(size + 1), np.full(size + 1, 1e-8)
     n = max(1, int((~held).sum()))
     for _ in range(EPOCHS):  # full-batch AdaGrad
-        score = np.bincount(r, weights[c] * v, minlength=w.texts) + weights[-1]
+        score = np.bincount(r, weights[c] * v, minlength=n_texts) + weights[-1]
         error = np.where(held, 0, 1 / (1 + np.exp(-np.clip(score, -40, 40))) - good) / n
         gradient = np.bincount(c, error[r] * v, minlength=size + 1) + 1e-7 * weights
         gradient[-1] = error.sum()
         step += gradient * gradient
         weights -= 0.5 * gradient / np.sqrt(step)
-    score = np.bincount(row, weights[column] * value, minlength=w.texts) + weights[-1]
+    score = np.bincount(row, weights[column] * value, minlength=n_texts) + weights[-1]
     return Model(weights, *platt(score[held], good[held]))
 
 
