@@ -10,7 +10,8 @@ written table; pieces learn their place by joining the rounds' bins.
 Tokens: the given tokenizer's, cached by pre-token. A pre-token's ids do not
 depend on its surroundings in these vocabularies (the text is normalised,
 split by a pattern that drops white space, and each part is merged alone), so
-each distinct white-space-delimited word is encoded once a worker.
+each distinct white-space-delimited word is encoded once a task. A worker process
+keeps the tokenizer for its next task, but not the words.
 
 Defined results: a null text is empty and has the end token alone; texts
 longer than the capacity are cut, others never; rows that repeat an id are
@@ -20,6 +21,7 @@ packed as rows of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -40,8 +42,8 @@ ROOM = 16
 FAN_IN = 100_000
 #: A later round must lower the number of bins by this share, or it is the last.
 GAIN = 0.01
-#: The most words whose ids a worker keeps (about 50 bytes each).
-CACHE = 2_000_000
+#: The most words whose ids a task keeps (about 50 bytes each).
+CACHE = 500_000
 U = np.uint64
 
 
@@ -130,18 +132,25 @@ def pack_pieces(docs: DataFrame, encoder: Callable[[], Encoder], doc_id: str, te
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder()
-        found: list[list] = [[] for _ in names]
+        found = [array("q") for _ in names]
+        nulls = array("q")
         for batch in batches:
             for part in slices(batch, text):
                 for i, ids in zip(part.column(doc_id).to_pylist(), encode.texts(part.column(text))):
                     ids = np.append(ids, np.uint32(END))
                     for piece, start in enumerate(range(0, len(ids), CAPACITY)):
                         cut = ids[start:start + CAPACITY].astype("<u4")
-                        for column, value in zip(found, (i, piece, start, len(cut), zlib.crc32(cut.tobytes()))):
+                        if i is None:
+                            nulls.append(len(found[0]))
+                        for column, value in zip(found, (i or 0, piece, start, len(cut), zlib.crc32(cut.tobytes()))):
                             column.append(value)
-        bins, offset, _ = best_fit(np.array(found[3], np.int64))
+        encode.forget()
+        columns = [np.frombuffer(c, np.int64) for c in found]
+        unknown = np.zeros(len(columns[0]), bool)
+        unknown[np.frombuffer(nulls, np.int64)] = True
+        bins, offset, _ = best_fit(columns[3])
         bins += TaskContext.get().partitionId() << 32
-        table = pa.table([pa.array(c, pa.int64()) for c in found] + [pa.array(bins), pa.array(offset)], [*names, "bin", "offset"])
+        table = pa.table([pa.array(columns[0], mask=unknown), *map(pa.array, columns[1:]), pa.array(bins), pa.array(offset)], [*names, "bin", "offset"])
         yield from table.to_batches(max_chunksize=100_000)
 
     return docs.select(F.col(f"`{doc_id}`").cast("long").alias(doc_id), F.col(f"`{text}`").alias(text)).mapInArrow(
