@@ -155,13 +155,19 @@ def fit(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str
 def scored(docs: DataFrame, classifier: Classifier, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, float | None]:
     """The paragraphs whose chance is ``LEAST`` or more (written), and the chance that ``FALSE_SHARE`` of those without a licence's words pass.
 
-    One pass scores every paragraph, once; the chance is observed on its way.
+    One pass scores every paragraph, once, and counts on its way those without
+    such words. All that could pass are among the written ones, so the chance at
+    which too many do is a quantile of these; None if even ``LEAST`` lets few pass.
     """
     seen = Observation()
-    chance = known_chance("chances")
+    chance, unnamed = known_chance("chances"), ~F.col("notice").rlike(NAMING)
     rows = classifier.score(with_grams(paragraphs(docs, doc_id, text), "notice")).select("doc_id", "paragraph", "notice", "words", "chances")
-    rows = rows.observe(seen, F.percentile_approx(F.when(~F.col("notice").rlike(NAMING), chance), 1 - FALSE_SHARE, 10_000).alias("cut"))
-    return materialize(rows.where(chance >= LEAST), "licence-scored"), seen.get["cut"]
+    rows = materialize(rows.observe(seen, F.count_if(unnamed).alias("n")).where(chance >= LEAST), "licence-scored")
+    may, passing = FALSE_SHARE * seen.get["n"], rows.where(unnamed)
+    count = passing.count()
+    if count <= may:
+        return rows, None
+    return rows, passing.agg(F.percentile_approx(chance, 1 - may / count, 10_000)).first()[0]
 
 
 def train(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Classifier:
