@@ -7,8 +7,11 @@ word, equal byte for byte to the chunk's first occurrence in the table, is
 removed there. The first occurrence is the one with the smallest document id
 (null last) and position.
 
-Hot chunks: counting is a partial aggregate, and the comparison is a join
-that Spark may split. Texts meet their removals by one join.
+What is shuffled to find repeats is a chunk's hash, length and place. The texts
+that hold a first occurrence are joined once to fetch its bytes, and all texts once
+to be compared with them and cut. Counting is a partial aggregate, and a chunk that
+very many texts hold is a join that Spark may split. The two joins of the texts are
+merge joins at every size, so that the plan of a small table is that of a large one.
 
 Defined results: a null text stays null with 0 lines; an empty text is one
 empty line; rows that repeat an id keep the chunks at equal positions; an
@@ -54,32 +57,44 @@ def chunk_text(chunk: Column) -> Column:
     return F.array_join(F.slice("lines", chunk["first"] + 1, chunk["size"]), "\n")
 
 
-def removals(df: DataFrame, every: int) -> DataFrame:
-    """(id, print, gone): the chunks to remove from each text of (id, print, body) that has any."""
-    found = (chunked(df.select("id", "print", "body"), every)
-             .select("id", "print", F.explode("chunks").alias("chunk"), "lines")
-             .where("chunk.size >= 2")
-             .select("id", "print", "chunk.k", chunk_text(F.col("chunk")).alias("piece"))
-             .where(F.size(F.filter(F.split("piece", "\n", -1), lambda line: line.rlike(WORD))) >= 2)
-             .select("id", "print", "k", "piece", F.xxhash64("piece").alias("key"), F.length("piece").alias("chars")))
-    # written first, so that Spark sees its size and may split the join on a common chunk
-    first = materialize(found.groupBy("key", "chars").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k")).alias("first"))
-                        .where("n > 1").select("key", "chars", "first"), "line-firsts")
-    met = materialize(found.join(first, ["key", "chars"])
-                      .select("key", "id", "print", "k", "piece", (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("k") == F.col("first.k"))).alias("is_first")), "line-chunks")
-    kept = materialize(met.where("is_first").groupBy("key").agg(F.min("piece").alias("kept_piece")), "line-kept")
-    return (met.where("not is_first").join(kept, "key").where("piece = kept_piece")
-            .groupBy("id", "print").agg(F.collect_set("k").alias("gone")))
+def pieces(df: DataFrame, every: int) -> DataFrame:
+    """(id, print, k, key, chars, piece) of the chunks of (id, print, body) that have two lines with a word, or more."""
+    return (chunked(df.select("id", "print", "body"), every)
+            .select("id", "print", F.explode("chunks").alias("chunk"), "lines")
+            .where("chunk.size >= 2")
+            .select("id", "print", "chunk.k", chunk_text(F.col("chunk")).alias("piece"))
+            .where(F.size(F.filter(F.split("piece", "\n", -1), lambda line: line.rlike(WORD))) >= 2)
+            .select("id", "print", "k", F.xxhash64("piece").alias("key"), F.length("piece").alias("chars"), "piece"))
+
+
+def offers(df: DataFrame, every: int) -> DataFrame:
+    """(id, print, offered): for each text of (id, print, body) the places k of chunks that look repeated, with the bytes of their first occurrence."""
+    found = materialize(pieces(df, every).drop("piece"), "line-chunks")  # hashes and places, no text
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "k", "print")
+    # written first, so that Spark sees its size and may split the joins on a common chunk
+    first = materialize(found.groupBy("key", "chars").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+                        .where("n > 1").select("key", "chars", F.col("first.id").alias("id"), F.col("first.print").alias("print"), F.col("first.k").alias("k")), "line-firsts")
+    wanted = first.groupBy("id", "print").agg(F.collect_set("k").alias("wanted")).withColumnsRenamed({"id": "first_id", "print": "first_print"})
+    holders = df.join(wanted.hint("merge"), df["id"].eqNullSafe(wanted["first_id"]) & (df["print"] == wanted["first_print"]))
+    kept = chunked(holders.select("body", "wanted"), every).select("lines", F.explode(F.filter("chunks", lambda c: F.array_contains("wanted", c["k"]))).alias("chunk"))
+    kept = kept.select(chunk_text(F.col("chunk")).alias("piece")).select(F.xxhash64("piece").alias("key"), F.length("piece").alias("chars"), "piece")
+    kept = materialize(kept.groupBy("key", "chars").agg(F.min("piece").alias("piece")), "line-kept")
+    later = found.join(first.withColumnsRenamed({"id": "first_id", "print": "first_print", "k": "first_k"}), ["key", "chars"]).where(
+        ~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("k") == F.col("first_k"))))
+    return (materialize(later.select("id", "print", "k", "key", "chars"), "line-later").join(kept, ["key", "chars"])
+            .groupBy("id", "print").agg(F.collect_list(F.struct("k", "piece")).alias("offered")))
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", every: int = EVERY) -> DataFrame:
     """``docs`` with repeated chunks cut from ``text``, and the columns ``ADDED``."""
     own = Own(docs)
     d = own.df.withColumns({"id": own[doc_id], "body": own[text], "print": F.xxhash64(own[text])})
-    gone = removals(d, every).select(F.col("id").alias("gone_id"), F.col("print").alias("gone_print"), "gone")
-    # the text crosses the join once; its lines are cut again behind it
-    d = d.drop("body").join(gone, d["id"].eqNullSafe(gone["gone_id"]) & (d["print"] == gone["gone_print"]), "left")
+    offered = offers(d, every).select(F.col("id").alias("gone_id"), F.col("print").alias("gone_print"), "offered")
+    # the text crosses the join once; its lines are cut again behind it, and compared byte for byte
+    d = d.drop("body").join(offered.hint("merge"), d["id"].eqNullSafe(offered["gone_id"]) & (d["print"] == offered["gone_print"]), "left")
     d = chunked(d.withColumn("body", own[text]), every)
+    same = F.filter("offered", lambda o: chunk_text(F.col("chunks")[o["k"]]) == o["piece"])
+    d = computed(d, "gone", F.when(F.size(same) > 0, F.transform(same, lambda o: o["k"])))
     left = F.filter("chunks", lambda c: F.col("gone").isNull() | ~F.array_contains("gone", c["k"]))
     removed = F.filter("chunks", lambda c: F.col("gone").isNotNull() & F.array_contains("gone", c["k"]))
     new_text = F.when(F.col("gone").isNull(), F.col("body")).otherwise(F.array_join(F.transform(left, chunk_text), "\n"))
