@@ -13,7 +13,10 @@ under every order.
    classes hold puts them into the *star* of its smallest class. Pairs that
    share a token meet in that token's star; a class enters a star once,
    however many tokens lead there.
-3. Stars are split into blocks of bounded size, and every two blocks meet in
+   Linked sets differ in size by a factor of 1/t at most, so a star falls apart
+   by size: sets meet in the star's part of one size class, and those of the
+   next class visit it. A class alone in its part is sent nowhere.
+3. Parts are split into blocks of bounded size, and every two blocks meet in
    a task of their own, which intersects the filters of all orders, verifies
    the survivors on their whole sets, and emits a spanning set of the links
    it found: never the pairs of a group.
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimloom.llm.components import connected_components
@@ -144,6 +147,12 @@ def least_partner(percent: int) -> int:
     return math.ceil(percent / (100 - percent)) if percent < 100 else 1 << 62
 
 
+def size_class(n: str, percent: int) -> Column:
+    """Sets of n and m >= n elements, ``100 n >= percent m``, lie in the same class or in neighbouring ones."""
+    width = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0  # a hair wider, against rounding
+    return F.floor(F.log(F.col(n).cast("double")) / width)
+
+
 def matrix(row: np.ndarray, column: np.ndarray, rows: int, other: np.ndarray, others_column: np.ndarray, others: int) -> np.ndarray:
     """How many columns each row of one sparse 0/1 matrix shares with each row of another."""
     both = np.intersect1d(column, others_column)
@@ -245,13 +254,20 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, lower:
 
     held = signed.select("node", F.explode("prefix").alias("token"))
     shared = held.groupBy("token").agg(F.min("node").alias("star"), F.max("node").alias("top")).where("star != top").select("token", "star")
-    stars = materialize(held.join(shared, "token").select("star", "node").distinct().join(classes, "node"), "jaccard-stars")
+    stars = held.join(shared, "token").select("star", "node").distinct().join(classes, "node")
+    stars = materialize(stars.withColumn("own", size_class("n", percent)), "jaccard-stars")
+    # a visitor meets those of the class itself there; among themselves visitors meet in their own class's part
+    parts = stars.withColumn("part", F.explode(F.array("own", F.col("own") - 1)))
+    some = parts.groupBy("star", "part").agg(F.count_if(F.col("own") == F.col("part")).alias("own"), F.count(F.lit(1)).alias("all")).where("own > 0 and all > 1")
+    stars = materialize(parts.drop("own").join(some.select("star", "part"), ["star", "part"])
+                        .select(F.xxhash64("star", "part").alias("star"), "node", "rep", "n"), "jaccard-parts")
     blocks = stars.groupBy("star").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     near = (stars.join(blocks, "star")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("star", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "rep"))
-    met = docs.join(near, docs["doc_id"].eqNullSafe(near["rep"]))
+    # a merge join at every size: the plan of a small table is that of a large one
+    met = docs.join(near.hint("merge"), docs["doc_id"].eqNullSafe(near["rep"]))
 
     def link(table: pa.Table) -> pa.Table:
         # an id may stand for several texts: only a class's own is taken, and once
