@@ -53,13 +53,12 @@ SPAN = "array<struct<start:int,n:int,src_id:bigint,src_print:bigint,src_start:in
 
 def prints(w: Words) -> np.ndarray:
     """A hash of each whole text, which tells apart rows of one id."""
-    return w.spans(w.at[:-1], w.at[1:]).view(np.int64)
+    return w.spans(w.at[:-1], w.at[1:], seed=0).view(np.int64)
 
 
-def edges(w: Words, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, hash, minimizer) of every edge."""
-    salt = mix(np.array([seed + 1], U))[0]
-    at, hashes = windows(w.hash ^ salt, w.first, WINDOW)
+def edges(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, hash, minimizer) of every edge, by the words' own seed."""
+    at, hashes = windows(w.hash, w.first, WINDOW)
     small = np.zeros(len(w.hash), U)
     where, parts = w.windows(PART_WORDS)
     small[where] = parts
@@ -131,8 +130,8 @@ def send(parts: int, seed: int):
         held, texts, n = [], 0, 0
         for batch in batches:
             for piece in slices(batch, "text"):
-                w = Words(piece.column("text"))
-                at, h, least = edges(w, seed)
+                w = Words(piece.column("text"), seed=seed)
+                at, h, least = edges(w)
                 row = w.text[at]
                 held.append((row + texts, at - w.first[row], h, (least % U(parts)).astype(np.int32), piece.column("doc_id").fill_null(LAST).to_numpy(), prints(w)))
                 texts, n = texts + w.texts, n + len(at)

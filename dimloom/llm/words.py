@@ -1,9 +1,9 @@
 """Words, shingles and their 64-bit hashes over Arrow string columns, in numpy.
 
 A word is a maximal run of bytes other than space and ``\\t \\n \\v \\f \\r``
-(all ASCII, so bytes and code points agree). Hashes are polynomial sums over
-the bytes with a mixing step; equal words always have equal hashes.
-Everything works on slices of a few MB, so memory does not follow the batch.
+(all ASCII, so bytes and code points agree). A hash takes a span's length and
+then its bytes, eight at a time, each step through a non-linear mix that starts at
+the seed: words made to collide under one seed do not under another. Everything works on slices of a few MB, so memory does not follow the batch.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ import pyarrow as pa
 
 U = np.uint64
 SLICE_BYTES = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -28,9 +26,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_BYTES = mix(np.arange(1, 257, dtype=U) * U(_BASE))
-_LOWER = _BYTES.copy()
-_LOWER[65:91] = _BYTES[97:123]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Longer spans are hashed as the hashes of their pieces of this many bytes.
+_PIECE = 256
+_ODD, _ADD = U(0x9FB21C651E98DF25), U(0xD6E8FEB86659FD93)
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -40,18 +40,6 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def kept_powers(base: int, n: int) -> np.ndarray:
-    """``powers``, kept for the next call while they are no longer than a usual slice needs."""
-    if n > 2 * SLICE_BYTES:
-        return powers(base, n)
-    if base not in _POWERS:
-        _POWERS[base] = powers(base, 2 * SLICE_BYTES)
-    return _POWERS[base][:n]
-
-
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -78,11 +66,38 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         first = last
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the spans ``data[start:end]``."""
+    size = (end - start).astype(np.int64)
+    first = mix(np.array([seed], U) * _ODD + _ADD)[0]
+    out = mix(size.astype(U) * _ADD + first)
+    wide = size > _PIECE
+    if wide.any():
+        n = -(-size[wide] // _PIECE)
+        edge = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat(start[wide], n) + (np.arange(edge[-1]) - np.repeat(edge[:-1], n)) * _PIECE
+        pieces = span_hashes(data, at, np.minimum(at + _PIECE, np.repeat(end[wide], n)), seed)
+        out[wide] = mix(out[wide] ^ span_hashes(pieces.astype("<u8").view(np.uint8), 8 * edge[:-1], 8 * edge[1:], seed))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each byte on
+    live = np.flatnonzero((size > 0) & ~wide)
+    at, left = start[live], size[live]
+    while len(live):
+        block = eight[at]
+        short = left < 8
+        block[short] &= (U(1) << (left[short].astype(U) * U(8))) - U(1)
+        out[live] = mix((out[live] ^ block) * _ODD + _ADD)
+        on = left > 8
+        live, at, left = live[on], at[on] + 8, left[on] - 8
+    return out
+
+
 class Words:
     """The words of some texts: ``start``/``end`` bytes, ``hash``, ``first[d]:first[d + 1]`` per text."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, seed: int = 0):
         self.data, self.at = buffers(column)
+        self.seed = seed
         raw, at = self.data, self.at
         self.texts = len(at) - 1
         space = _SPACE[raw]
@@ -100,13 +115,9 @@ class Words:
         self._lower = lower
         self._hash: np.ndarray | None = None
 
-    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def spans(self, start: np.ndarray, end: np.ndarray, seed: int | None = None) -> np.ndarray:
         """Hashes of byte spans."""
-        values = (_LOWER if self._lower else _BYTES)[self.data] * kept_powers(_BASE, len(self.data))
-        total = np.zeros(len(values) + 1, U)
-        np.add.accumulate(values, out=total[1:])
-        back = kept_powers(_INVERSE, len(self.data) + 1)
-        return mix((total[end] - total[start]) * back[start] + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
+        return span_hashes(_LOWER[self.data] if self._lower else self.data, start, end, self.seed if seed is None else seed)
 
     @property
     def hash(self) -> np.ndarray:
