@@ -79,11 +79,15 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def changing(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
-    """The source rows that an upsert would not find in the target as they are (NULL-safe)."""
+    """The source rows that an upsert would not find in the target as they are (NULL-safe).
+
+    A merge join: the target is a mart, whose files say little of how large its
+    rows are in memory, and a broadcast of it would lie whole in every executor.
+    """
     cols = [*keys, *update_cols]
     s, t = source.alias("s"), target.select(*cols).alias("t")
     same = [F.col(f"s.{c}") == F.col(f"t.{c}") for c in keys] + [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in update_cols]
-    return s.join(t, same, "left_anti")
+    return s.join(t.hint("merge"), same, "left_anti")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],

@@ -14,9 +14,10 @@ from dimloom.functions import fill_default, json_field, nested_field, org_name,
 from dimloom.operators import checks, dedup, portal
 from dimloom.operators import watermark as wmk
 from dimloom.operators.ids import with_dense_ids
-from dimloom.operators.upsert import insert_ignore, upsert
+from dimloom.operators.upsert import changing, insert_ignore, upsert
 from dimloom.plans.shape import shape_short
 from dimloom.session import check_shared
+from dimloom.sources import feeds
 from dimloom.sources.feeds import POSITION, read_feed
 
 
@@ -237,3 +238,13 @@ def test_non_local_master_needs_a_shared_folder():
         check_shared("spark://host:7077", None)
     check_shared("spark://host:7077", "hdfs:///shared")
     check_shared("local[4]", None)
+
+
+def test_changing_never_broadcasts_the_target(spark):
+    rows = [("a", 1, "x"), ("b", 2, None), ("c", 3, "z"), (None, 4, "n")]
+    target = spark.createDataFrame(rows, "k string, n long, v string")
+    source = spark.createDataFrame([("a", 1, "x"), ("b", 2, None), ("c", 3, "y"), (None, 4, "n"), ("d", 5, "z")], target.schema)
+    got = changing(target, source, ["k", "n"], ["v"])
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([("c", 3, "y"), (None, 4, "n"), ("d", 5, "z")], key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
