@@ -33,6 +33,8 @@ from dimloom.constants import FEED_KINDS
 from dimloom.schemas import FEED_SCHEMAS
 
 POSITION = ["_file", "_block", "_pos"]
+#: The most rows that a landing task sorts, about.
+ROWS_PER_TASK = 500_000
 
 
 def _day(v) -> str:
@@ -102,9 +104,10 @@ def write_feed(df: DataFrame, root: str, kind: str, order: Sequence[str],
 
     Rows are range-partitioned on (day, order) and sorted inside each task,
     so file-name order within a day directory is feed order. Files are
-    capped at ``max_records`` lines, which bounds each reading task.
+    capped at ``max_records`` lines, which bounds each reading task, and the
+    sorting tasks grow in number with the rows, which are counted for it.
     """
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    n = buckets or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), -(-df.count() // ROWS_PER_TASK))
     out = df.withColumn("load_date", F.to_date(F.col(date_col)))
     (out.repartitionByRange(n, "load_date", *order)
         .sortWithinPartitions("load_date", *order)

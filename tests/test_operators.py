@@ -248,3 +248,15 @@ def test_changing_never_broadcasts_the_target(spark):
     assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([("c", 3, "y"), (None, 4, "n"), ("d", 5, "z")], key=str)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_landing_tasks_grow_with_the_rows(spark, workdir, monkeypatch):
+    rows = spark.range(400).select(F.col("id").alias("ngrn"), F.expr("timestamp'2023-01-02 03:00:00'").alias("dfrom"), F.col("id").cast("string").alias("vnaim"))
+    files = {}
+    for size in (1_000, 20):  # the session has 4 shuffle partitions
+        monkeypatch.setattr(feeds, "ROWS_PER_TASK", size)
+        feeds.write_feed(rows.orderBy(F.rand(1)), f"{workdir}/{size}", "short_info", ["ngrn"])
+        files[size] = len([f for f in os.listdir(f"{workdir}/{size}/short_info/load_date=2023-01-02") if f.endswith(".json")])
+        found = read_feed(spark, "short_info", f"{workdir}/{size}", layout="lines").orderBy(*POSITION).collect()
+        assert [r["ngrn"] for r in found] == list(range(400))
+    assert files[1_000] <= 4 and files[20] > 10
