@@ -260,3 +260,13 @@ def test_landing_tasks_grow_with_the_rows(spark, workdir, monkeypatch):
         found = read_feed(spark, "short_info", f"{workdir}/{size}", layout="lines").orderBy(*POSITION).collect()
         assert [r["ngrn"] for r in found] == list(range(400))
     assert files[1_000] <= 4 and files[20] > 10
+
+
+def test_feed_rows_carry_a_number_of_their_file(spark, workdir):
+    """The paths are put in order once a file, not padded once a row."""
+    for day, name, n in (("2023-01-03", "c9.json", 1), ("2023-01-02", "c10.json", 2), ("2023-01-02", "c9 a%20.json", 3), ("2023-01-02", "c9.json", 4), ("2022-12-31", "c1.json", 5)):
+        _feed_file(workdir, day, name, f'{{"ngrn": {n}}}\n{{"ngrn": {n + 10}}}\n')
+    feed = read_feed(spark, "short_info", workdir, "2023-01-01", layout="lines")
+    assert dict(feed.dtypes)["_file"] == "bigint"
+    assert [r["ngrn"] for r in feed.orderBy(*POSITION).collect()] == [3, 13, 4, 14, 2, 12, 1, 11]
+    assert [r["_file"] for r in feed.select("_file").distinct().orderBy("_file").collect()] == [1, 2, 3, 4]
