@@ -20,6 +20,7 @@ packed as rows of their own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -44,6 +45,8 @@ FAN_IN = 100_000
 GAIN = 0.01
 #: The most words whose ids a task keeps (about 50 bytes each).
 CACHE = 500_000
+#: Words that are encoded as one text, a special token after each.
+JOINED = 500
 U = np.uint64
 
 
@@ -53,18 +56,47 @@ class Encoder:
     The cache is keyed by 64-bit hashes, and holds (hash, place and number of
     its ids) sorted by hash. The tokenizer lower-cases, so words that differ
     in ASCII case share an entry, but for those with a ``|``: the special
-    tokens, which hold one, are told apart before that.
+    tokens, which hold one, are told apart before that. New words are encoded
+    many at a time with a special token after each, which cuts a text before
+    anything else happens to it; words with a ``|`` are encoded alone.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # a task has one core: the tokenizer's own threads, one a core of the machine, mostly wait for each other
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        self.mark = next(((k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items()
+                          if "|" in t.content and not (t.normalized or t.single_word or t.lstrip or t.rstrip)), None)
         self.forget()
 
     def forget(self) -> None:
         self.hash, self.at, self.size, self.flat = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
+    def ids(self, texts: list[str]) -> Iterator[list[int]]:
+        return (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of the words in some order, place of each word's ids in it, their number)."""
+        alone = np.fromiter(("|" in w or not self.mark for w in words), bool, len(words))
+        size = np.zeros(len(words), np.int64)
+        single = list(self.ids([words[k] for k in np.flatnonzero(alone).tolist()]))
+        size[alone] = [len(ids) for ids in single]
+        flat = np.fromiter(chain.from_iterable(single), np.uint32)
+        at = np.zeros(len(words), np.int64)
+        at[alone] = np.cumsum(size[alone]) - size[alone]
+        if not alone.all():
+            mark, text = self.mark
+            plain = [words[k] for k in np.flatnonzero(~alone).tolist()]
+            joined = np.fromiter(chain.from_iterable(self.ids([text.join([*plain[k:k + JOINED], ""]) for k in range(0, len(plain), JOINED)])), np.uint32)
+            end = np.flatnonzero(joined == mark)
+            start = np.concatenate([[0], end[:-1] + 1])
+            size[~alone] = end - start
+            at[~alone] = len(flat) + start - np.arange(len(plain))
+            flat = np.concatenate([flat, joined[joined != mark]])
+        return flat, at, size
+
     def place(self, keys: np.ndarray, word: Callable[[int], str]) -> np.ndarray:
         """Places in the cache of these sorted keys, the words of which are encoded if they are new."""
         found = np.searchsorted(self.hash, keys)
@@ -75,10 +107,9 @@ class Encoder:
             self.forget()
             found, new = np.zeros(len(keys), np.int64), np.ones(len(keys), bool)
         index = np.flatnonzero(new)
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([word(k) for k in index.tolist()], add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        at = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
+        flat, at, size = self.encode([word(k) for k in index.tolist()])
+        at += len(self.flat)
+        self.flat = np.concatenate([self.flat, flat])
         self.hash, self.at, self.size = (np.insert(a, found[index], b) for a, b in ((self.hash, keys[index]), (self.at, at), (self.size, size)))
         return np.searchsorted(self.hash, keys)
 

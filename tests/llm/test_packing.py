@@ -26,6 +26,21 @@ def test_word_cache_gives_the_tokenizers_ids(tokenizer):
     assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_are_encoded_many_at_a_time(tokenizer, monkeypatch):
+    words = ["a", "", "<", ">", "x|y", "<|endoftext|>", "<|startoftext|>b", "\u0301e", "e", "\u00a0", "|", "\x00", "don't", "ΣΑΣ", "İ", "<", "漢字1½"] + [f"w{k}" for k in range(40)]
+    encoder, seen = packing.Encoder(vocabulary()), []
+    ids = encoder.ids
+    monkeypatch.setattr(packing, "JOINED", 7)
+    monkeypatch.setattr(encoder, "ids", lambda texts: seen.extend(texts) or ids(texts))
+    for some in (words, ["x|y"], ["a"], []):
+        flat, at, size = encoder.encode(some)
+        assert [flat[a:a + n].tolist() for a, n in zip(at, size)] == [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
+    assert len(seen) <= 4 + 8 + 2
+    encoder.mark = None
+    flat, at, size = encoder.encode(words)
+    assert [flat[a:a + n].tolist() for a, n in zip(at, size)] == [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=80))
 def test_best_fit_fills_no_bin_over_and_leaves_no_two_that_fit(lengths):
