@@ -1,51 +1,64 @@
-"""Main text of web pages: article markup where there is some, repeated runs of the host's pages elsewhere.
+"""Main text of web pages: every host's repeated runs, and the markup's word on what they are.
 
 A page's HTML becomes blocks (runs of text between block elements). Scripts,
 styles and the like hold no text; elements that markup names as furniture (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) hold no main text.
 
-* A page with an ``article`` element has the blocks inside it. Its text is the
-  author's, so it stays even where the host repeats it.
-* Any other page is judged by its host. The token streams of the host's pages (a
-  token is a word or a block's start) are one text, whose suffixes are put in order
-  by their first ``WINDOW`` tokens: by a 128-bit name of host and tokens, so that
-  suffixes that share them are neighbours wherever their pages lie. Neighbours from
-  distinct pages make a repeat; every token under one is covered. Covered words go,
-  and a block that lost some keeps its unique runs of ``RUN`` words or more.
-
-The order is one shuffle with partial minima and maxima of the page per name: a
-host or a run that a third of all pages shares is a row per task, never a group.
-Only hosts that have a page without an article are put in order. Pages with equal
-HTML are one page, so that a copy alone makes nothing repeat.
+Every page of every host takes the same way. A page is two token streams (a token is
+a word or a block's start): what is inside its articles, and the rest. The streams of
+a host's pages, either kind for itself, are one text, whose suffixes are put in order
+by the 64-bit names of their first ``WINDOW`` tokens, wherever their pages lie.
+Neighbours from distinct pages make a repeat; every token under one is covered.
+
+* A page with main text inside an ``article`` element has that text. It is the author's,
+  so it stays even where the host's articles repeat it (``n_repeated`` counts these
+  words). But ``MENU`` neighbouring blocks or more that are mostly links and wholly
+  covered are a menu.
+* Of any other page covered words go, and a block that lost some keeps its unique runs
+  of ``RUN`` words or more.
+
+Pages go as slices of about ``SLICE`` bytes of text, which are shuffled once. A slice first
+asks which of its suffixes can have a neighbour at all: equal windows of ``WINDOW``
+tokens hold equal least windows of ``SHORT``, which are fewer, and 32 bits of a name and
+its part tell enough. Only suffixes whose answer is yes are put in order, by whole names.
+A part is a range of names, their number grows with the input, and a name is in a part
+once a slice: a run that all pages share is an entry a slice. Pages of a host with
+equal HTML are one page, so that a copy alone makes nothing repeat (a page is
+told by 32 bits where two slices meet).
 
 Edge cases: null or blank HTML, and a page of furniture alone, give an empty text;
-a null ``url`` is a host of its own; text without markup is one block; an empty
-``article`` counts as none, but then its page is judged by markup alone; repeated
-rows give the same row again; long pages are read whole; an empty table gives an
-empty one; a column of another name is passed over.
+a null ``url`` is a host of its own; text without markup is one block; an ``article``
+without main text counts as none; repeated rows give the same row again; long pages
+are read whole; an empty table gives an empty one; a column of another name is passed over.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.operators.ids import materialize
+from dimloom.llm.words import U, Words, mix
 
 #: Tokens that a repeat has at least.
 WINDOW = 10
+#: Tokens of the windows by which slices first ask for repeats.
+SHORT = 6
 #: Words of a unique run that stays in a block that lost others.
 RUN = 5
-#: Suffixes a batch holds.
-SLICE = 50_000
-#: A page without an article: a block whose words are links beyond this share is a menu.
+#: Bytes of text of a slice, about; bytes of HTML for a task, and for a part of the names.
+SLICE, TASK, PART = 2 << 20, 64 << 20, 128 << 20
+#: A block whose words are links beyond this share is a menu on a page without an article; inside one it may be.
 LINKED = 0.5
+#: Neighbouring blocks of links that are a menu inside an article, if the host repeats them.
+MENU = 3
 
 # --- fixed values: elements and names of HTML --------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -196,10 +209,13 @@ def blocks_of(html: str | None) -> list[tuple[str, bool, bool, int]]:
     return parser.blocks
 
 
+def _links(block: tuple[str, bool, bool, int]) -> bool:
+    return block[3] > LINKED * len(block[0].split())
+
+
 def _loose(block: tuple[str, bool, bool, int]) -> bool:
     """Whether markup leaves open if the block is main text."""
-    text, _, furniture, linked = block
-    return not furniture and linked <= LINKED * len(text.split())
+    return not block[2] and not _links(block)
 
 
 def fenced_text(html: str | None) -> str:
@@ -214,14 +230,6 @@ def tokens_of(texts: list[str]) -> list[str]:
     return [t for text in texts for t in ("\n", *text.split())]
 
 
-def windows_of(host: str, tokens: list[str], window: int) -> list[bytes]:
-    """The 128-bit name of each suffix's first ``window`` tokens, within its host."""
-    names = []
-    for k in range(len(tokens) - window + 1):
-        names.append(hashlib.blake2b("\0".join((host, *tokens[k:k + window])).encode("utf-8", "replace"), digest_size=16).digest())
-    return names
-
-
 def unique_text(texts: list[str], loose: list[bool], covered: list[int], window: int, run: int) -> str:
     """The loose blocks without the words under a repeat (``covered``: where repeats start), in runs of ``run`` words or whole."""
     tokens = tokens_of(texts)
@@ -254,67 +262,228 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1), F.lit("")))
 
 
-def _fenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = pa.array([fenced_text(h) for h in batch.column("html").to_pylist()], pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), texts], names=["page_id", "url", "text"])
+def article_text(blocks: list[tuple[str, bool, bool, int]], covered: np.ndarray) -> tuple[str, int]:
+    """The text of an article's blocks but for menus, and how many of its words are ``covered`` (a flag a token)."""
+    held: list[tuple[str, int]] = []
+    menu: list[tuple[str, int]] = []
+
+    def settle() -> None:
+        if len(menu) < MENU:
+            held.extend(menu)
+        menu.clear()
+
+    at = 0
+    for block in blocks:
+        size = len(block[0].split())
+        hits = int(covered[at + 1:at + 1 + size].sum())
+        at += 1 + size
+        if block[2]:
+            continue
+        if hits == size and _links(block):
+            menu.append((block[0], hits))
+            continue
+        settle()
+        held.append((block[0], hits))
+    if held:  # else the article is a list of links
+        settle()
+    held += menu
+    return "\n".join(t for t, _ in held), sum(n for _, n in held)
+
+
+def _digest(*texts: str) -> int:
+    return int.from_bytes(hashlib.blake2b("\0".join(texts).encode("utf-8", "replace"), digest_size=8).digest(), "little")
 
 
-def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed(held: list[tuple], kinds: pa.Schema) -> pa.RecordBatch:
+    row, page_id, url, host, page, blocks = zip(*held)
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(page_id, kinds.field("page_id").type), pa.array(url, kinds.field("url").type), pa.array(host, pa.uint64()), pa.array(page, pa.uint64()),
+         *(pa.array([[b[k] for b in p] for p in blocks], pa.list_(kind)) for k, kind in enumerate((pa.string(), pa.bool_(), pa.bool_(), pa.int32())))],
+        names=["page_id", "url", "host", "page", "texts", "inside", "furniture", "linked"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_batch(rows)
+    return pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int64()), pa.array([zlib.compress(sink.getvalue(), 6)], pa.binary())], names=["slice", "pages"])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of pages as blocks, named by their first row."""
+    held, size, kinds = [], 0, None
     for batch in batches:
-        found = [[b for b in blocks_of(h) if not b[1]] for h in batch.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), batch.column("open"), pa.array([[b[0] for b in p] for p in found], pa.list_(pa.string())),
-                                          pa.array([[_loose(b) for b in p] for p in found], pa.list_(pa.bool_()))], names=["host", "page", "open", "texts", "loose"])
+        kinds = batch.schema
+        for row, page_id, url, host, html in zip(*(batch.column(c).to_pylist() for c in ("row", "page_id", "url", "host", "html"))):
+            blocks = blocks_of(html)
+            held.append((row, page_id, url, _digest(host), _digest(host, html or ""), blocks))
+            size += sum(len(b[0]) for b in blocks)
+            if size >= SLICE:
+                yield _packed(held, kinds)
+                held, size = [], 0
+    if held:
+        yield _packed(held, kinds)
+
+
+def _entries(values: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values in order, a page of each, and whether it has two."""
+    order = np.lexsort((page, values))
+    values, page = values[order], page[order]
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(values))[:len(first)] - 1
+    return values[first], page[first], page[first] != page[last]
+
+
+class Suffixes:
+    """The suffixes of a slice's token streams: two streams a page, the text outside articles and that inside."""
+
+    def __init__(self, pages: bytes, bits: int):
+        self.bits = bits
+        self.rows = pa.ipc.open_stream(zlib.decompress(pages)).read_next_batch()
+        self.blocks = [list(zip(*p)) for p in zip(*(self.rows.column(c).to_pylist() for c in ("texts", "inside", "furniture", "linked")))]
+        self.words = words = Words(pa.array([" ".join("\x1f " + b[0] for b in p if b[1] == kind) for p in self.blocks for kind in (False, True)], pa.large_string()))
+        self.at, names = words.windows(WINDOW)
+        stream = words.text[self.at]
+        host = mix(self.rows.column("host").to_numpy()[stream // 2] + (stream % 2).astype(U))
+        self.page = self.rows.column("page").to_numpy()[stream // 2]
+        self.name = mix(names ^ host)
+        at, short = words.windows(SHORT)
+        value = np.zeros(len(words.start), U)
+        value[at] = short
+        least = value[self.at]
+        for k in range(1, WINDOW - SHORT + 1):
+            least = np.minimum(least, value[self.at + k])
+        self.least = mix(least ^ host) >> U(32 - bits)
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Entries of the first question: part and 32 bits of a name."""
+        return _entries(self.least, self.page)
+
+    def _answer(self, values: np.ndarray, part: np.ndarray, hits: list) -> np.ndarray:
+        """A flag for each of the distinct ``values``, whose parts were answered one by one."""
+        out = np.zeros(len(values), bool)
+        for row in hits or []:
+            a, b = np.searchsorted(part, [row["part"], row["part"] + 1])
+            out[a:b] = np.unpackbits(np.frombuffer(row["hit"], np.uint8), count=b - a).astype(bool)
+        return out
+
+    def chosen(self, hits: list) -> np.ndarray:
+        """The suffixes that may have a neighbour."""
+        values = self.asked()[0]
+        return np.flatnonzero(self._answer(values, values >> U(32), hits)[np.searchsorted(values, self.least)])
+
+    def ordered(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return _entries(self.name[chosen], self.page[chosen])
+
+    def covered(self, may: list, hits: list) -> np.ndarray:
+        """The tokens at which a repeat starts."""
+        chosen = self.chosen(may)
+        values = self.ordered(chosen)[0]
+        return self.at[chosen[self._answer(values, values >> U(64 - self.bits), hits)[np.searchsorted(values, self.name[chosen])]]]
+
+    def judged(self, may: list, hits: list) -> Iterator[tuple[str, int]]:
+        """The text of each page, and its words that are repeated."""
+        starts = self.covered(may, hits)
+        cover = np.zeros(len(self.words.start) + 1, np.int64)
+        cover[starts] += 1
+        cover[starts + WINDOW] -= 1  # a start is there once
+        cover = np.cumsum(cover) > 0
+        first = self.words.first
+        for k, blocks in enumerate(self.blocks):
+            inside = [b for b in blocks if b[1]]
+            if any(not b[2] for b in inside):
+                yield article_text(inside, cover[first[2 * k + 1]:first[2 * k + 2]])
+                continue
+            rest = [b for b in blocks if not b[1]]
+            a, b = np.searchsorted(starts, [first[2 * k], first[2 * k + 1]])
+            yield unique_text([x[0] for x in rest], [_loose(x) for x in rest], (starts[a:b] - first[2 * k]).tolist(), WINDOW, RUN), 0
+
 
+def _rows(number: int, part: np.ndarray, names: np.ndarray, prints: np.ndarray | None, sure: np.ndarray) -> pa.RecordBatch:
+    """A slice's entries, a row a part."""
+    edge = np.flatnonzero(np.diff(part, prepend=part[:1] - U(1), append=part[-1:] + U(1)))
+    spans = list(zip(edge[:-1], edge[1:]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(part[a]) for a, _ in spans], pa.int32()), pa.array([number] * len(spans), pa.int64()), pa.array([names[a:b].tobytes() for a, b in spans], pa.binary()),
+         pa.array([None if prints is None else prints[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([np.packbits(sure[a:b]).tobytes() for a, b in spans], pa.binary())],
+        names=["part", "slice", "names", "prints", "sure"])
 
-def _names(window: int):
+
+ENTRIES = "part int, slice long, names binary, prints binary, sure binary"
+
+
+def _first_names(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for host, page, texts in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "texts"))):
-                names = windows_of(host, tokens_of(texts), window)
-                for k in range(0, len(names), SLICE):
-                    part = names[k:k + SLICE]
-                    yield pa.RecordBatch.from_arrays([pa.array([page] * len(part), pa.string()), pa.array(range(k, k + len(part)), pa.int32()), pa.array(part, pa.binary())],
-                                                     names=["page", "k", "name"])
+            for number, pages in zip(batch.column("slice").to_pylist(), batch.column("pages")):
+                values, _, sure = Suffixes(pages.as_py(), bits).asked()
+                if len(values):
+                    yield _rows(number, values >> U(32), values.astype(np.uint32), None, sure)
     return run
 
 
-def _unique(window: int, run: int):
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole_names(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            page, texts, loose, covered = (batch.column(c).to_pylist() for c in ("page", "texts", "loose", "covered"))
-            out = [unique_text(t, o, c or [], window, run) for t, o, c in zip(texts, loose, covered)]
-            yield pa.RecordBatch.from_arrays([pa.array(page, pa.string()), pa.array(out, pa.string())], names=["page", "text"])
-    return go
+            for number, pages, may in zip(batch.column("slice").to_pylist(), batch.column("pages"), batch.column("may")):
+                suffixes = Suffixes(pages.as_py(), bits)
+                values, page, sure = suffixes.ordered(suffixes.chosen(may.as_py()))
+                if len(values):
+                    yield _rows(number, values >> U(64 - bits), values, (page >> U(32)).astype(np.uint32), sure)
+    return run
 
 
-def unique_runs(pages: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
-    """(page, text) of the pages that are ``open``, from ``pages`` (host, page, open, html), the host's others with them.
+def _neighbours(kind: type):
+    """Puts a part's names in order and tells each slice which of its own have a neighbour from another page."""
+    def run(part: pa.Table) -> pa.Table:
+        names = [np.frombuffer(x, kind) for x in part.column("names").to_pylist()]
+        prints = [np.full(len(n), k, np.uint32) if x is None else np.frombuffer(x, np.uint32) for k, (n, x) in enumerate(zip(names, part.column("prints").to_pylist()))]
+        sure = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(n)) for n, x in zip(names, part.column("sure").to_pylist())])
+        edge = np.cumsum([len(n) for n in names])[:-1]
+        names, prints = np.concatenate(names), np.concatenate(prints)
+        order = np.argsort(names, kind="stable")
+        names, prints, sure = names[order], prints[order], sure[order].astype(bool)
+        new = np.ones(len(names), bool)
+        new[1:] = names[1:] != names[:-1]
+        other = np.zeros(len(names), bool)
+        other[1:] = ~new[1:] & (prints[1:] != prints[:-1])
+        hit = np.logical_or.reduceat(sure | other, np.flatnonzero(new))[np.cumsum(new) - 1]
+        back = np.empty(len(hit), bool)
+        back[order] = hit
+        return pa.table({"slice": part.column("slice"), "part": part.column("part"), "hit": pa.array([np.packbits(x).tobytes() for x in np.split(back, edge)], pa.binary())})
+    return run
 
-    A row a distinct page; ``page`` is the digest of its host and HTML.
-    """
-    streams = pages.select("host", "page", "open", "html").mapInArrow(
-        _streams, "host string, page string, open boolean, texts array<string>, loose array<boolean>")
-    streams = materialize(streams.dropDuplicates(["page"]), "page-streams")
 
-    def suffixes(df: DataFrame) -> DataFrame:
-        return df.select("host", "page", "texts").mapInArrow(_names(window), "page string, k int, name binary")
+def _judged(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pages, may, hits in zip(batch.column("pages"), batch.column("may"), batch.column("hits")):
+                suffixes = Suffixes(pages.as_py(), bits)
+                texts, repeated = zip(*suffixes.judged(may.as_py(), hits.as_py()))
+                yield pa.RecordBatch.from_arrays([suffixes.rows.column("page_id"), suffixes.rows.column("url"), pa.array(texts, pa.string()), pa.array(repeated, pa.int64())],
+                                                 names=["page_id", "url", "text", "n_repeated"])
+    return run
 
-    repeated = suffixes(streams).groupBy("name").agg(F.min("page").alias("a"), F.max("page").alias("b")).where("a < b").select("name")
-    asked = streams.where("open")
-    covered = suffixes(asked).join(repeated, "name", "left_semi").groupBy("page").agg(F.collect_list("k").alias("covered"))
-    return asked.join(covered, "page", "left").select("page", "texts", "loose", "covered").mapInArrow(_unique(window, run), "page string, text string")
+
+def judged_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, url, text, n_chars, n_repeated): a row a page; ``n_repeated`` words of the text are repeated by other articles of the host."""
+    spark = pages.sparkSession
+    size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK))
+    bits = max(4, (size // PART).bit_length())
+    kind = pages.schema["page_id"].dataType.simpleString(), pages.schema["url"].dataType.simpleString()
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", host_of(F.col("url")).alias("host"), "html")
+    slices = rows.mapInArrow(_slices, "slice long, pages binary").repartition(tasks, "slice")
+
+    def answers(entries: DataFrame, kind: type, name: str) -> DataFrame:
+        hits = entries.repartition(tasks, "part").groupBy("part").applyInArrow(_neighbours(kind), "slice long, part int, hit binary")
+        return hits.groupBy("slice").agg(F.collect_list(F.struct("part", "hit")).alias(name)).hint("merge")
+
+    asked = slices.join(answers(slices.mapInArrow(_first_names(bits), ENTRIES), np.uint32, "may"), "slice", "left")
+    known = asked.join(answers(asked.mapInArrow(_whole_names(bits), ENTRIES), np.uint64, "hits"), "slice", "left")
+    texts = known.select("pages", "may", "hits").mapInArrow(_judged(bits), f"page_id {kind[0]}, url {kind[1]}, text string, n_repeated long")
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_repeated")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars): a row a page."""
-    df = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    fenced = F.coalesce(F.col("html"), F.lit("")).rlike(r"(?i)<article[\s/>]")
-    kind = pages.schema["page_id"].dataType.simpleString(), pages.schema["url"].dataType.simpleString()
-    done = df.where(fenced).select("page_id", "url", "html").mapInArrow(_fenced, f"page_id {kind[0]}, url {kind[1]}, text string")
-    named = df.withColumns({"page": F.sha2(F.concat("host", F.lit("\n"), "html"), 256), "open": ~fenced})
-    hosts = materialize(df.where(~fenced).select("host").distinct(), "open-hosts")
-    texts = unique_runs(named.where("html is not null").join(hosts, "host", "left_semi"))
-    judged = named.where("open").select("page_id", "url", "page").join(materialize(texts, "open-texts"), "page", "left")
-    out = done.unionByName(judged.select("page_id", "url", F.coalesce("text", F.lit("")).alias("text")))
-    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+    return judged_pages(pages).drop("n_repeated")

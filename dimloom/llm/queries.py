@@ -72,7 +72,7 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_text.main_text(table(spark, sf_dir, "pages"))
+    return main_text.judged_pages(table(spark, sf_dir, "pages"))
 
 
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,3 +109,51 @@ def test_a_page_with_an_article_is_evidence_for_one_without(spark):
     rows = [(1, "http://a.org/1", f"<article><p>{body}</p></article><div>{menu}</div>"), (2, "http://a.org/2", f"<div>{menu}</div><div>{body}</div>"),
             (3, "http://b.org/", f"<div>{menu}</div><div>{body}</div>")]
     assert run(spark, rows) == expected([(1, rows[0][1], body), (2, rows[1][1], body), (3, rows[2][1], f"{menu}\n{body}")])
+
+
+def test_articles_of_a_host_are_put_in_order(spark):
+    """Words that other articles of the host repeat stay and are counted; text outside articles and copies of a page make nothing repeat."""
+    rng = random.Random(5)
+    some = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(n)) for n in (8, 9, 10, 30, 50)]
+    pages = []
+    for k in range(50):
+        parts = [" ".join(rng.choice("ijklmnop") * rng.randint(1, 9) for _ in range(rng.randint(1, 30))) for _ in range(3)] + [rng.choice(some) for _ in range(k % 3)]
+        rng.shuffle(parts)
+        host = "hot.org" if k % 3 else f"h{k % 4}.org"
+        pages.append((k, f"https://{host}/{k}", "<article>" + "".join(f"<p>{p}</p>" for p in parts) + f"</article><p>{parts[k % 3]} {some[3]}</p>"))
+    alone = " ".join(f"only{k}" for k in range(40))
+    pages += [(k, "https://twice.org/", f"<article><p>{alone}</p></article><p>{some[4]}</p>") for k in (90, 91)] + [(92, "https://twice.org/", f"<article>x</article><p>{alone}</p>")]
+    expect = []
+    for i, u, h in pages:
+        streams = {o: main_text.tokens_of(main_text.fenced_text(o).split("\n")) for _, v, o in pages if v.split("/")[2] == u.split("/")[2]}
+        n = main_text.WINDOW
+        shared = {tuple(s[k:k + n]) for o, s in streams.items() if o != h for k in range(len(s) - n + 1)}
+        own = streams[h]
+        covered = {j for k in range(len(own) - n + 1) if tuple(own[k:k + n]) in shared for j in range(k, k + n)}
+        text = main_text.fenced_text(h)
+        expect.append((i, u, text, len(text), sum(own[j] != "\n" for j in covered)))
+    df = spark.createDataFrame(pages, SCHEMA).repartition(7)
+    assert sorted(tuple(r) for r in main_text.judged_pages(df).collect()) == sorted(expect)
+    assert sum(r[4] > 0 for r in expect) > 10 and [r[4] for r in expect[-3:]] == [0, 0, 0]
+
+
+def test_a_menu_inside_articles(spark):
+    """Neighbouring links that the host's articles repeat are a menu; a list of one page alone, and a linked title, stay."""
+    def links(n, word):
+        return "<ul>" + "".join(f"<li><a href=/>{word} {k}</a></li>" for k in range(n)) + "</ul>"
+
+    title = " ".join(f"title{k}" for k in range(12))
+    pages = [(1, "http://a.org/1", f"<article><h1><a href=/>{title}</a></h1><p>first text</p>{links(6, 'entry')}</article>"),
+             (2, "http://a.org/2", f"<article><h1><a href=/>{title}</a></h1><p>second text</p>{links(6, 'entry')}<p>end</p></article>"),
+             (3, "http://a.org/3", f"<article><p>third text</p>{links(6, 'source')}</article>"),
+             (4, "http://b.org/4", f"<article><p>fourth text</p>{links(6, 'entry')}</article>"),
+             (5, "http://c.org/5", f"<article>{links(6, 'entry')}</article>"), (6, "http://c.org/6", f"<article>{links(6, 'entry')}</article><p>x</p>")]
+    lists = {w: "\n".join(f"{w} {k}" for k in range(6)) for w in ("entry", "source")}
+    assert run(spark, pages) == expected([(1, pages[0][1], f"{title}\nfirst text"), (2, pages[1][1], f"{title}\nsecond text\nend"), (3, pages[2][1], f"third text\n{lists['source']}"),
+                                          (4, pages[3][1], f"fourth text\n{lists['entry']}"), (5, pages[4][1], lists["entry"]), (6, pages[5][1], lists["entry"])])
+
+
+def test_an_empty_article_is_judged_by_the_host(spark):
+    menu, body = (" ".join(f"{w}{k}" for k in range(20)) for w in ("entry", "word"))
+    rows = [(1, "http://a.org/1", f"<article> </article><div>{menu}</div><div>{body}</div>"), (2, "http://a.org/2", f"<article><p>x</p></article><div>{menu}</div>")]
+    assert run(spark, rows) == expected([(1, rows[0][1], body), (2, rows[1][1], "x")])
