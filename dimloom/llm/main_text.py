@@ -23,8 +23,8 @@ tokens hold equal least windows of ``SHORT``, which are fewer, and 32 bits of a
 its part tell enough. Only suffixes whose answer is yes are put in order, by whole names.
 A part is a range of names, their number grows with the input, and a name is in a part
 once a slice: a run that all pages share is an entry a slice. Pages of a host with
-equal HTML are one page, so that a copy alone makes nothing repeat (a page is
-told by 32 bits where two slices meet).
+equal HTML are one page, so that a copy alone makes nothing repeat: the slice with the
+smallest number counts it, the others only ask.
 
 Edge cases: null or blank HTML, and a page of furniture alone, give an empty text;
 a null ``url`` is a host of its own; text without markup is one block; an ``article``
@@ -303,7 +303,11 @@ def _packed(held: list[tuple], kinds: pa.Schema) -> pa.RecordBatch:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, rows.schema) as out:
         out.write_batch(rows)
-    return pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int64()), pa.array([zlib.compress(sink.getvalue(), 6)], pa.binary())], names=["slice", "pages"])
+    return pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int64()), pa.array([zlib.compress(sink.getvalue(), 4)], pa.binary())], names=["slice", "pages"])
+
+
+def _unpacked(pages: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(zlib.decompress(pages)).read_next_batch()
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,29 +326,33 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _packed(held, kinds)
 
 
-def _entries(values: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct values in order, a page of each, and whether it has two."""
-    order = np.lexsort((page, values))
-    values, page = values[order], page[order]
+def _entries(values: np.ndarray, page: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and how many pages that count hold each (2: or more)."""
+    order = np.lexsort((page, values) if counts.all() else (page, ~counts, values))
+    values, page, counts = values[order], page[order], counts[order]
     new = np.ones(len(values), bool)
     new[1:] = values[1:] != values[:-1]
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(values))[:len(first)] - 1
-    return values[first], page[first], page[first] != page[last]
+    if not len(first):
+        return values, np.zeros(0, np.int64)
+    n = np.add.reduceat(counts.astype(np.int64), first)
+    return values[first], np.where(page[first] != page[first + np.maximum(n, 1) - 1], 2, np.minimum(n, 1))
 
 
 class Suffixes:
     """The suffixes of a slice's token streams: two streams a page, the text outside articles and that inside."""
 
-    def __init__(self, pages: bytes, bits: int):
+    def __init__(self, pages: bytes, copies: list | None, bits: int):
         self.bits = bits
-        self.rows = pa.ipc.open_stream(zlib.decompress(pages)).read_next_batch()
+        self.rows = _unpacked(pages)
         self.blocks = [list(zip(*p)) for p in zip(*(self.rows.column(c).to_pylist() for c in ("texts", "inside", "furniture", "linked")))]
         self.words = words = Words(pa.array([" ".join("\x1f " + b[0] for b in p if b[1] == kind) for p in self.blocks for kind in (False, True)], pa.large_string()))
         self.at, names = words.windows(WINDOW)
         stream = words.text[self.at]
         host = mix(self.rows.column("host").to_numpy()[stream // 2] + (stream % 2).astype(U))
-        self.page = self.rows.column("page").to_numpy()[stream // 2]
+        page = self.rows.column("page").to_numpy()
+        self.page = page[stream // 2]
+        self.counts = ~np.isin(page, np.array(copies or [], np.int64).astype(U))[stream // 2]
         self.name = mix(names ^ host)
         at, short = words.windows(SHORT)
         value = np.zeros(len(words.start), U)
@@ -354,9 +362,9 @@ class Suffixes:
             least = np.minimum(least, value[self.at + k])
         self.least = mix(least ^ host) >> U(32 - bits)
 
-    def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
         """Entries of the first question: part and 32 bits of a name."""
-        return _entries(self.least, self.page)
+        return _entries(self.least, self.page, self.counts)
 
     def _answer(self, values: np.ndarray, part: np.ndarray, hits: list) -> np.ndarray:
         """A flag for each of the distinct ``values``, whose parts were answered one by one."""
@@ -371,8 +379,9 @@ class Suffixes:
         values = self.asked()[0]
         return np.flatnonzero(self._answer(values, values >> U(32), hits)[np.searchsorted(values, self.least)])
 
-    def ordered(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return _entries(self.name[chosen], self.page[chosen])
+    def ordered(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of their names."""
+        return _entries(self.name[chosen], self.page[chosen], self.counts[chosen])
 
     def covered(self, may: list, hits: list) -> np.ndarray:
         """The tokens at which a repeat starts."""
@@ -398,66 +407,69 @@ class Suffixes:
             yield unique_text([x[0] for x in rest], [_loose(x) for x in rest], (starts[a:b] - first[2 * k]).tolist(), WINDOW, RUN), 0
 
 
-def _rows(number: int, part: np.ndarray, names: np.ndarray, prints: np.ndarray | None, sure: np.ndarray) -> pa.RecordBatch:
+def _rows(number: int, part: np.ndarray, names: np.ndarray, pages: np.ndarray) -> pa.RecordBatch:
     """A slice's entries, a row a part."""
     edge = np.flatnonzero(np.diff(part, prepend=part[:1] - U(1), append=part[-1:] + U(1)))
     spans = list(zip(edge[:-1], edge[1:]))
     return pa.RecordBatch.from_arrays(
         [pa.array([int(part[a]) for a, _ in spans], pa.int32()), pa.array([number] * len(spans), pa.int64()), pa.array([names[a:b].tobytes() for a, b in spans], pa.binary()),
-         pa.array([None if prints is None else prints[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([np.packbits(sure[a:b]).tobytes() for a, b in spans], pa.binary())],
-        names=["part", "slice", "names", "prints", "sure"])
+         *(pa.array([np.packbits(pages[a:b] >= k).tobytes() for a, b in spans], pa.binary()) for k in (1, 2))], names=["part", "slice", "names", "one", "two"])
+
 
+ENTRIES = "part int, slice long, names binary, one binary, two binary"
 
-ENTRIES = "part int, slice long, names binary, prints binary, sure binary"
+
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct pages of each slice."""
+    for batch in batches:
+        for number, pages in zip(batch.column("slice").to_pylist(), batch.column("pages")):
+            page = np.unique(_unpacked(pages.as_py()).column("page").to_numpy()).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(page), number)), pa.array(page)], names=["slice", "page"])
 
 
 def _first_names(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, pages in zip(batch.column("slice").to_pylist(), batch.column("pages")):
-                values, _, sure = Suffixes(pages.as_py(), bits).asked()
+            for number, pages, copies in zip(batch.column("slice").to_pylist(), batch.column("pages"), batch.column("copies")):
+                values, held = Suffixes(pages.as_py(), copies.as_py(), bits).asked()
                 if len(values):
-                    yield _rows(number, values >> U(32), values.astype(np.uint32), None, sure)
+                    yield _rows(number, values >> U(32), values.astype(np.uint32), held)
     return run
 
 
 def _whole_names(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, pages, may in zip(batch.column("slice").to_pylist(), batch.column("pages"), batch.column("may")):
-                suffixes = Suffixes(pages.as_py(), bits)
-                values, page, sure = suffixes.ordered(suffixes.chosen(may.as_py()))
+            for number, pages, copies, may in zip(batch.column("slice").to_pylist(), *(batch.column(c) for c in ("pages", "copies", "may"))):
+                suffixes = Suffixes(pages.as_py(), copies.as_py(), bits)
+                values, held = suffixes.ordered(suffixes.chosen(may.as_py()))
                 if len(values):
-                    yield _rows(number, values >> U(64 - bits), values, (page >> U(32)).astype(np.uint32), sure)
+                    yield _rows(number, values >> U(64 - bits), values, held)
     return run
 
 
 def _neighbours(kind: type):
-    """Puts a part's names in order and tells each slice which of its own have a neighbour from another page."""
+    """Puts a part's names in order and tells each slice which of its own are those of two pages."""
     def run(part: pa.Table) -> pa.Table:
         names = [np.frombuffer(x, kind) for x in part.column("names").to_pylist()]
-        prints = [np.full(len(n), k, np.uint32) if x is None else np.frombuffer(x, np.uint32) for k, (n, x) in enumerate(zip(names, part.column("prints").to_pylist()))]
-        sure = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(n)) for n, x in zip(names, part.column("sure").to_pylist())])
         edge = np.cumsum([len(n) for n in names])[:-1]
-        names, prints = np.concatenate(names), np.concatenate(prints)
+        one, two = (np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(n)) for n, x in zip(names, part.column(c).to_pylist())]) for c in ("one", "two"))
+        names = np.concatenate(names)
         order = np.argsort(names, kind="stable")
-        names, prints, sure = names[order], prints[order], sure[order].astype(bool)
+        names, pages = names[order], (one.astype(np.int64) + two)[order]
         new = np.ones(len(names), bool)
         new[1:] = names[1:] != names[:-1]
-        other = np.zeros(len(names), bool)
-        other[1:] = ~new[1:] & (prints[1:] != prints[:-1])
-        hit = np.logical_or.reduceat(sure | other, np.flatnonzero(new))[np.cumsum(new) - 1]
-        back = np.empty(len(hit), bool)
-        back[order] = hit
-        return pa.table({"slice": part.column("slice"), "part": part.column("part"), "hit": pa.array([np.packbits(x).tobytes() for x in np.split(back, edge)], pa.binary())})
+        hit = np.empty(len(names), bool)
+        hit[order] = (np.add.reduceat(pages, np.flatnonzero(new)) >= 2)[np.cumsum(new) - 1]
+        return pa.table({"slice": part.column("slice"), "part": part.column("part"), "hit": pa.array([np.packbits(x).tobytes() for x in np.split(hit, edge)], pa.binary())})
     return run
 
 
 def _judged(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for pages, may, hits in zip(batch.column("pages"), batch.column("may"), batch.column("hits")):
-                suffixes = Suffixes(pages.as_py(), bits)
+            for pages, copies, may, hits in zip(*(batch.column(c) for c in ("pages", "copies", "may", "hits"))):
+                suffixes = Suffixes(pages.as_py(), copies.as_py(), bits)
                 texts, repeated = zip(*suffixes.judged(may.as_py(), hits.as_py()))
                 yield pa.RecordBatch.from_arrays([suffixes.rows.column("page_id"), suffixes.rows.column("url"), pa.array(texts, pa.string()), pa.array(repeated, pa.int64())],
                                                  names=["page_id", "url", "text", "n_repeated"])
@@ -478,9 +490,12 @@ def judged_pages(pages: DataFrame) -> DataFrame:
         hits = entries.repartition(tasks, "part").groupBy("part").applyInArrow(_neighbours(kind), "slice long, part int, hit binary")
         return hits.groupBy("slice").agg(F.collect_list(F.struct("part", "hit")).alias(name)).hint("merge")
 
+    held = slices.mapInArrow(_pages, "slice long, page long").groupBy("page").agg(F.array_sort(F.collect_list("slice")).alias("slices")).where("size(slices) > 1")
+    copies = held.select("page", F.explode(F.expr("slice(slices, 2, size(slices) - 1)")).alias("slice")).groupBy("slice").agg(F.collect_list("page").alias("copies"))
+    slices = slices.join(copies.hint("merge"), "slice", "left")
     asked = slices.join(answers(slices.mapInArrow(_first_names(bits), ENTRIES), np.uint32, "may"), "slice", "left")
     known = asked.join(answers(asked.mapInArrow(_whole_names(bits), ENTRIES), np.uint64, "hits"), "slice", "left")
-    texts = known.select("pages", "may", "hits").mapInArrow(_judged(bits), f"page_id {kind[0]}, url {kind[1]}, text string, n_repeated long")
+    texts = known.select("pages", "copies", "may", "hits").mapInArrow(_judged(bits), f"page_id {kind[0]}, url {kind[1]}, text string, n_repeated long")
     return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_repeated")
 
 

@@ -4,6 +4,7 @@ import random
 import re
 from html import unescape
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +158,21 @@ def test_an_empty_article_is_judged_by_the_host(spark):
     menu, body = (" ".join(f"{w}{k}" for k in range(20)) for w in ("entry", "word"))
     rows = [(1, "http://a.org/1", f"<article> </article><div>{menu}</div><div>{body}</div>"), (2, "http://a.org/2", f"<article><p>x</p></article><div>{menu}</div>")]
     assert run(spark, rows) == expected([(1, rows[0][1], body), (2, rows[1][1], "x")])
+
+
+def test_copies_in_other_slices(spark):
+    """A page that comes again in other slices counts once there too, but learns what its one original learns."""
+    word = " ".join(f"word{k}" for k in range(25))
+    pages = [(k, f"http://h{k % 2}.org/{k}", f"<article><p>{' '.join(f'own{k}x{j}' for j in range(15))}</p>" + (f"<p>{word}</p>" if k in (0, 1, 2) else "") + "</article>") for k in range(6)]
+    again = [(i + 10 * t, u, h) for t in range(5) for i, u, h in pages]
+    found = [tuple(r) for r in main_text.judged_pages(spark.createDataFrame(again, SCHEMA).repartition(9)).collect()]
+    # pages 0 and 2 are of one host, page 1 is alone on its own
+    assert sorted((r[0], r[4]) for r in found) == sorted((i, 25 if i % 10 in (0, 2) else 0) for i, _, _ in again)
+
+
+def test_entries_count_distinct_pages():
+    values, page = np.array([5, 3, 5, 3, 5, 9, 7, 7], "u8"), np.array([1, 1, 2, 1, 2, 3, 1, 2], "u8")
+    counts = np.array([1, 1, 1, 1, 1, 0, 1, 0], bool)
+    assert [x.tolist() for x in main_text._entries(values, page, counts)] == [[3, 5, 7, 9], [1, 2, 1, 0]]
+    assert [x.tolist() for x in main_text._entries(values, page, ~np.zeros(8, bool))] == [[3, 5, 7, 9], [1, 2, 2, 1]]
+    assert [len(x) for x in main_text._entries(values[:0], page[:0], counts[:0])] == [0, 0]
