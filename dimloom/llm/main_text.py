@@ -486,12 +486,13 @@ def judged_pages(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", host_of(F.col("url")).alias("host"), "html")
     slices = rows.mapInArrow(_slices, "slice long, pages binary").repartition(tasks, "slice")
 
+    # what meets the slices is dealt by the same number, else Spark would deal the slices anew instead of reusing their shuffle
     def answers(entries: DataFrame, kind: type, name: str) -> DataFrame:
         hits = entries.repartition(tasks, "part").groupBy("part").applyInArrow(_neighbours(kind), "slice long, part int, hit binary")
-        return hits.groupBy("slice").agg(F.collect_list(F.struct("part", "hit")).alias(name)).hint("merge")
+        return hits.repartition(tasks, "slice").groupBy("slice").agg(F.collect_list(F.struct("part", "hit")).alias(name)).hint("merge")
 
     held = slices.mapInArrow(_pages, "slice long, page long").groupBy("page").agg(F.array_sort(F.collect_list("slice")).alias("slices")).where("size(slices) > 1")
-    copies = held.select("page", F.explode(F.expr("slice(slices, 2, size(slices) - 1)")).alias("slice")).groupBy("slice").agg(F.collect_list("page").alias("copies"))
+    copies = held.select("page", F.explode(F.expr("slice(slices, 2, size(slices) - 1)")).alias("slice")).repartition(tasks, "slice").groupBy("slice").agg(F.collect_list("page").alias("copies"))
     slices = slices.join(copies.hint("merge"), "slice", "left")
     asked = slices.join(answers(slices.mapInArrow(_first_names(bits), ENTRIES), np.uint32, "may"), "slice", "left")
     known = asked.join(answers(asked.mapInArrow(_whole_names(bits), ENTRIES), np.uint64, "hits"), "slice", "left")

@@ -176,3 +176,15 @@ def test_entries_count_distinct_pages():
     assert [x.tolist() for x in main_text._entries(values, page, counts)] == [[3, 5, 7, 9], [1, 2, 1, 0]]
     assert [x.tolist() for x in main_text._entries(values, page, ~np.zeros(8, bool))] == [[3, 5, 7, 9], [1, 2, 2, 1]]
     assert [len(x) for x in main_text._entries(values[:0], page[:0], counts[:0])] == [0, 0]
+
+
+def test_pages_are_parsed_and_shuffled_once(spark, monkeypatch):
+    """Also where the slices are dealt to more tasks than there are shuffle partitions."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    for task in (main_text.TASK, 10_000):
+        monkeypatch.setattr(main_text, "TASK", task)
+        df = main_text.judged_pages(pages)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan[:plan.index("Initial Plan")]
+        assert final.count("MapInArrow _slices(") == 1 and final.count("ReusedExchange [slice") >= 3
