@@ -16,11 +16,16 @@ under every order.
    Linked sets differ in size by a factor of 1/t at most, so a star falls apart
    by size: sets meet in the star's part of one size class, and those of the
    next class visit it. A class alone in its part is sent nowhere.
-3. Parts are split into blocks of bounded size, and every two blocks meet in
+3. Before any text is shipped, the parts compare *cards*: counts of a set's
+   shingles by 8 bits of their hash. The cards of two sets differ, summed over
+   the counts, by no more than the sets do, so a set whose card is too far from
+   all others of its part links with none there and leaves it. Sets that share
+   a rare passage only, whose number grows faster than the corpus, end here.
+4. What stays is split into blocks of bounded size, and every two blocks meet in
    a task of their own, which intersects the filters of all orders, verifies
    the survivors on their whole sets, and emits a spanning set of the links
    it found: never the pairs of a group.
-4. Components of the links, then one row per document.
+5. Components of the links, then one row per document.
 
 Defined results: a null or wordless text has no set (0 shingles) and links
 with nothing; fewer words than a shingle form one shorter shingle; equal
@@ -53,6 +58,9 @@ PART = 1 << 14
 #: Rows and shingles of one block of a star.
 BLOCK_ROWS = 512
 BLOCK_SHINGLES = 400_000
+#: Counts of a card (a byte each), and rows of one block of cards.
+CARD = 256
+CARD_ROWS = 2048
 
 
 def shingle_sets(column: pa.Array, size: int, lower: bool, levels: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,6 +104,36 @@ def signatures(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix((total[at[1:]] - total[at[:-1]]) + np.diff(at).astype(U) * U(0x9E3779B97F4A7C15))
 
 
+def cards(hashes: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Of each set, how many of its elements fall to each of ``CARD`` values of their hash (255 stands for more)."""
+    width = pa.binary(CARD)
+    out = []
+    for low, high in zip(at[:-1].tolist(), at[1:].tolist()):
+        counts = np.bincount((mix(hashes[low:high]) & U(CARD - 1)).astype(np.int64), minlength=CARD)
+        out.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+    return pa.array(out, width).cast(pa.binary())
+
+
+def close(card: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets may link with another one across the two sides, by their cards and sizes; all that do are among them.
+
+    Linked sets of a and b elements differ in ``(a + b) (100 - percent) / (100 + percent)`` elements at most.
+    """
+    found = np.zeros(len(n), bool)
+    others = np.flatnonzero(right)
+    theirs, size, ones = card[others], n[others], np.ones(CARD, np.float32)
+    for k in np.flatnonzero(left).tolist():
+        total = size + n[k]
+        able = np.flatnonzero(((100 + percent) * np.minimum(size, n[k]) >= percent * total) & (others != k))
+        near = theirs[able]
+        apart = (np.maximum(near, card[k]) - np.minimum(near, card[k])).astype(np.float32) @ ones
+        able = able[(100 + percent) * apart.astype(np.int64) <= (100 - percent) * total[able]]
+        if len(able):
+            found[k] = True
+            found[others[able]] = True
+    return found
+
+
 def frequency_sketch(docs: DataFrame, text: str, lower: bool) -> np.ndarray:
     """Logarithms (in eighths) of counters by the low bits of each word's hash, over all texts: ``SKETCH`` bytes, whatever the input."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,9 +285,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, lower:
                 edge = np.searchsorted(row[index], np.arange(part.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("print"), pa.array(n.astype(np.int64)), pa.array(signatures(token, at).view(np.int64), mask=n == 0),
-                     pa.ListArray.from_arrays(pa.array(edge), pa.array(token[index].view(np.int64)))], ["doc_id", "print", "n_shingles", "node", "prefix"])
+                     pa.ListArray.from_arrays(pa.array(edge), pa.array(token[index].view(np.int64))), cards(token, at)], ["doc_id", "print", "n_shingles", "node", "prefix", "card"])
 
-    signed = materialize(printed.mapInArrow(sign, "doc_id long, print long, n_shingles long, node long, prefix array<long>"), "jaccard-sets")
+    signed = materialize(printed.mapInArrow(sign, "doc_id long, print long, n_shingles long, node long, prefix array<long>, card binary"), "jaccard-sets")
     classes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
 
     held = signed.select("node", F.explode("prefix").alias("token"))
@@ -261,11 +299,26 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, lower:
     some = parts.groupBy("star", "part").agg(F.count_if(F.col("own") == F.col("part")).alias("own"), F.count(F.lit(1)).alias("all")).where("own > 0 and all > 1")
     stars = materialize(parts.drop("own").join(some.select("star", "part"), ["star", "part"])
                         .select(F.xxhash64("star", "part").alias("star"), "node", "rep", "n"), "jaccard-parts")
-    blocks = stars.groupBy("star").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    near = (stars.join(blocks, "star")
-            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("star", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "rep"))
+
+    def near_of(stars: DataFrame, blocks: Column) -> DataFrame:
+        """The sets of each star, in every two blocks of it that they belong to."""
+        return (stars.join(stars.groupBy("star").agg(blocks.cast("int").alias("blocks")), "star")
+                .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .select("star", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "rep", "n"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, once = np.unique(table["node"].to_numpy(), return_index=True)  # an id may come with the same text again
+        table = table.take(pa.array(once))
+        card = np.frombuffer(b"".join(table["card"].to_pylist()), np.uint8).reshape(-1, CARD)
+        block, i, j = table["block"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
+        return table.filter(pa.array(close(card, table["n"].to_numpy(), block == i, block == j, percent))).select(["star", "node", "rep", "n"])
+
+    carded = near_of(stars, F.ceil(F.count(F.lit(1)) / CARD_ROWS))
+    shown = signed.where("node is not null and size(prefix) > 0").select(F.col("node").alias("own"), "doc_id", "card")
+    dealt = shown.join(carded.hint("merge"), (shown["own"] == carded["node"]) & shown["doc_id"].eqNullSafe(carded["rep"])).drop("own", "doc_id")
+    stars = materialize(dealt.groupBy("star", "i", "j").applyInArrow(compare, "star long, node long, rep long, n long").distinct(), "jaccard-close")
+    near = near_of(stars, F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES))).drop("n")
     # a merge join at every size: the plan of a small table is that of a large one
     met = docs.join(near.hint("merge"), docs["doc_id"].eqNullSafe(near["rep"]))
 

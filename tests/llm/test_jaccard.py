@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from dimloom.llm import jaccard
+from dimloom.operators.ids import materialize
 from tests.llm.helpers import ODD, components, documents, frame, words
 
 
@@ -67,3 +68,34 @@ def test_prefixes_meet_for_every_similar_pair():
         for order in range(jaccard.ORDERS):
             index = jaccard.prefixes(text, every, at, of(every), order, 90)
             assert set(every[index[text[index] == 0]]) & set(every[index[text[index] == 1]])
+
+
+def test_sets_that_share_a_passage_only_ship_no_text(spark, monkeypatch):
+    rng = random.Random(5)
+    passage = " ".join(f"rare{k}" for k in range(12))  # its words come once a text, the others more often
+    rows = [(k, " ".join([passage, *(f"w{rng.randrange(20)}" for _ in range(60))]), "", "", 0) for k in range(40)]
+    rows += [(100 + k, rows[0][1] + f" tail{k}", "", "", 0) for k in range(3)]
+    met = {}
+    monkeypatch.setattr(jaccard, "materialize", lambda df, label: met.setdefault(label, materialize(df, label)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(frame(spark, rows), 5, 80).collect()}
+    assert got == plain(rows, 5, 80)
+    assert met["jaccard-parts"].select("node").distinct().count() == 43
+    assert {r.rep for r in met["jaccard-close"].collect()} == {0, 100, 101, 102}
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_cards_lose_no_link(percent):
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 63, 40_000).astype(np.uint64)  # large sets too: counts beyond a byte
+    sets = []
+    for n in (9, 60, 520, 40_000):
+        for share in (1.0, 0.97, percent / 100, 0.4):
+            k = int(n * share)
+            sets.append(np.unique(np.concatenate([base[:k], rng.integers(0, 1 << 63, n - k).astype(np.uint64)])))
+    at = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    card = np.frombuffer(b"".join(jaccard.cards(np.concatenate(sets), at).to_pylist()), np.uint8).reshape(-1, jaccard.CARD)
+    n, every = np.diff(at), np.ones(len(sets), bool)
+    linked = [any(a != b and 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y)) for b, y in enumerate(sets)) for a, x in enumerate(sets)]
+    found = jaccard.close(card, n, every, every, percent)
+    assert not (np.array(linked) & ~found).any()
+    assert any(linked) and not found.all()
