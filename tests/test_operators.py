@@ -15,7 +15,9 @@ from dimloom.operators import checks, dedup, portal
 from dimloom.operators import watermark as wmk
 from dimloom.operators.ids import with_dense_ids
 from dimloom.operators.upsert import changing, insert_ignore, upsert
+from dimloom.plans import queries
 from dimloom.plans.shape import shape_short
+from dimloom.plans.standins import Standins
 from dimloom.session import check_shared
 from dimloom.sources import feeds
 from dimloom.sources.feeds import POSITION, read_feed
@@ -270,3 +272,28 @@ def test_feed_rows_carry_a_number_of_their_file(spark, workdir):
     assert dict(feed.dtypes)["_file"] == "bigint"
     assert [r["ngrn"] for r in feed.orderBy(*POSITION).collect()] == [3, 13, 4, 14, 2, 12, 1, 11]
     assert [r["_file"] for r in feed.select("_file").distinct().orderBy("_file").collect()] == [1, 2, 3, 4]
+
+
+def test_a_landed_feed_is_packed_and_its_shuffle_is_freed(spark, workdir, monkeypatch):
+    days = [f"2023-01-{2 + k % 3:02d}" for k in range(3000)]
+    rows = spark.createDataFrame([(k % 500, d, f"name {k % 7}", 10**9 + (k * 7919) % 3001) for k, d in enumerate(days)], "ngrn long, d string, vnaim string, place long")
+    rows = rows.select("ngrn", F.to_timestamp_ntz("d").alias("dfrom"), "vnaim", "place")
+    schema = T.StructType([T.StructField("ngrn", T.LongType()), T.StructField("dfrom", T.TimestampNTZType()), T.StructField("vnaim", T.StringType())])
+    found, size, freed = {}, {}, []
+    monkeypatch.setattr(feeds, "free_shuffles", freed.append)
+    for name, own in (("plain", {}), ("packed", {"columns": schema.names, "compression": "gzip"})):
+        feeds.write_feed(rows, f"{workdir}/{name}", "short_info", ["ngrn", "dfrom", "place"], max_records=100, **own)
+        found[name] = [tuple(r) for r in read_feed(spark, "short_info", f"{workdir}/{name}", layout="lines", schema=schema).orderBy(*POSITION).select(*schema.names).collect()]
+        size[name] = sum(os.path.getsize(os.path.join(d, x)) for d, _, names in os.walk(f"{workdir}/{name}") for x in names if x.startswith("part-"))
+    wanted = rows.orderBy(F.to_date("dfrom"), "ngrn", "dfrom", "place").select(*schema.names).collect()
+    assert found["packed"] == found["plain"] == [tuple(r) for r in wanted]
+    assert size["packed"] * 4 < size["plain"]
+    assert freed == [spark, spark]
+
+
+def test_cycle_queries_land_little(spark, workdir):
+    sf = "/root/testdata/sf0.001"
+    queries.land_feeds(Standins(spark, sf), f"{workdir}/feeds")
+    names = [os.path.join(d, x) for d, _, names in os.walk(f"{workdir}/feeds") for x in names if x.startswith("part-")]
+    assert names and all(x.endswith(".json.gz") for x in names)
+    assert "l_orderkey" not in spark.read.json(f"{workdir}/feeds/okved_info").columns
